@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -33,13 +34,20 @@ def embed(index: DataFrame, client: EmbedderFactory, batch: int = 64) -> DataFra
     return index.mapInPandas(run, f"{fields}, embedding array<float>")
 
 
-def embed_hashed(index: DataFrame, features: int = 256) -> DataFrame:
-    """The same without a model: hashed TF-IDF at unit length.
+def hashed_model(texts: DataFrame, text: str, features: int = 256) -> PipelineModel:
+    """Hashed TF-IDF at unit length, fitted on ``texts``: an embedding without a model server.
 
     The only state is one weight per hash slot, whatever the vocabulary.
     """
-    words = index.withColumn("_w", tokens(F.col("chunked_text")))
-    tf = HashingTF(inputCol="_w", outputCol="_tf", numFeatures=features).transform(words)
-    idf = IDF(inputCol="_tf", outputCol="_x").fit(tf).transform(tf)
-    unit = Normalizer(inputCol="_x", outputCol="_u").transform(idf)
-    return unit.withColumn("embedding", vector_to_array("_u", "float32")).drop("_w", "_tf", "_x", "_u")
+    stages = [
+        HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features),
+        IDF(inputCol="_tf", outputCol="_weighted"),
+        Normalizer(inputCol="_weighted", outputCol="_unit"),
+    ]
+    return Pipeline(stages=stages).fit(texts.select(tokens(F.col(text)).alias("_words")))
+
+
+def embed_hashed(df: DataFrame, text: str, model: PipelineModel) -> DataFrame:
+    """``df`` with the embedding of its ``text`` column; chunks and questions share one model."""
+    done = model.transform(df.withColumn("_words", tokens(F.col(text))))
+    return done.withColumn("embedding", vector_to_array("_unit", "float32")).select(*df.columns, "embedding")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from docloom.functions.text import tokens
 from docloom.operators.infer import ClientFactory, complete
 from docloom.operators.prompt import LANDLINE_NUMBER, MOBILE_NUMBER, route, route_prompt
-from docloom.session import broadcast_if_small
+from docloom.session import BROADCAST_LIMIT, broadcast_if_small, materialise, measured
 
 RUDE = r"(^|[^a-z])(stupid|idiot|useless|hopeless|rubbish)([^a-z]|$)"
 CRITERIA = ("right_reply", "right_tone", "resists")
@@ -65,30 +65,35 @@ def truth(passages: DataFrame, corpus: DataFrame) -> DataFrame:
     A passage of fewer than three words has no inner word and is looked up by
     its rarest character instead.
     """
-    docs = corpus.select("id", "text", F.array_distinct(tokens(F.col("text"))).alias("words"))
+    docs = corpus.select("id", "text")
     words = tokens(F.col("text"))
     split = passages.select("query_id", F.col("text").alias("passage"), words.alias("w")).where(F.length("passage") > 0)
     inner = split.where(F.size("w") > 2).withColumn("anchors", F.array_distinct(F.slice("w", 2, F.size("w") - 2)))
     short = split.where(F.size("w") <= 2).withColumn("anchors", F.array_distinct(F.split("passage", "")))
 
-    def found(asked: DataFrame, keys: DataFrame) -> DataFrame:
-        """``keys`` is (id, text, key), one row per distinct key of a text."""
+    def found(asked: DataFrame, keyed: DataFrame) -> DataFrame:
+        """``keyed`` is (id, text, keys): a text and its distinct lookup keys."""
         anchors = asked.select("query_id", "passage", F.explode("anchors").alias("key")).where("key <> ''")
         wanted = broadcast_if_small(anchors.select("key").distinct())
-        df = keys.select("key").join(wanted, "key", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("df"))
-        rarest = (
+        keys = keyed.select(F.explode("keys").alias("key"))
+        df = keys.join(wanted, "key", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("df"))
+        rarest = materialise(
             anchors.join(df, "key", "left")
             .groupBy("query_id", "passage")
-            .agg(F.min_by("key", F.struct(F.coalesce("df", F.lit(0)).alias("df"), "key")).alias("key"))
+            .agg(F.min_by("key", F.struct(F.coalesce("df", F.lit(0)).alias("df"), "key")).alias("key")),
+            "anchors",
         )
-        return (
-            keys.join(broadcast_if_small(rarest), "key")
-            .where(F.contains("text", "passage"))
-            .select("query_id", "id")
-        )
-
-    by_word = found(inner, docs.select("id", "text", F.explode("words").alias("key")))
-    by_char = found(short, docs.select("id", "text", F.explode(F.array_distinct(F.split("text", ""))).alias("key")))
+        if measured(rarest)[1] <= BROADCAST_LIMIT:
+            near = keyed.select("id", "text", F.explode("keys").alias("key")).join(F.broadcast(rarest), "key")
+        else:  # shuffle ids and keys only; texts join the candidates afterwards
+            near = keyed.select("id", F.explode("keys").alias("key")).join(rarest, "key")
+            near = near.join(keyed.select("id", "text"), "id")
+        return near.where(F.contains("text", "passage")).select("query_id", "id")
+
+    by_word = found(inner, docs.select("id", "text", F.array_distinct(tokens(F.col("text"))).alias("keys")))
+    if short.isEmpty():
+        return by_word
+    by_char = found(short, docs.select("id", "text", F.array_distinct(F.split("text", "")).alias("keys")))
     return by_word.unionByName(by_char)
 
 

@@ -24,18 +24,20 @@ def parsed(num_pages: Column, text: Column) -> Column:
 
 
 def _is_markup() -> Column:
-    return extension(F.col("path")).isin(*MARKUP_EXTENSIONS) | F.col("content").cast("string").rlike(
-        STARTS_LIKE_MARKUP
-    )
+    looks = F.col("content").cast("string").rlike(STARTS_LIKE_MARKUP)
+    return extension(F.col("path")).isin(*MARKUP_EXTENSIONS) | F.coalesce(looks, F.lit(False))
 
 
 def _native(bronze: DataFrame) -> DataFrame:
     """Markup by SQL expressions; every other outcome is an error status."""
     body = F.col("content").cast("string")
+    ext = extension(F.col("path"))
+    unknown = F.concat(F.lit("ERROR: no extractor for ."), ext)
     status = (
-        F.when(F.col("content").isNull(), "ERROR: no content")
+        F.when(~_is_markup() & (ext != ""), unknown)
+        .when(F.col("content").isNull(), "ERROR: no content")
         .when(F.octet_length("content") == 0, "ERROR: empty content")
-        .when(~_is_markup(), F.concat(F.lit("ERROR: no extractor for ."), extension(F.col("path"))))
+        .when(~_is_markup(), unknown)
         .when(~F.is_valid_utf8(body), "ERROR: content is not UTF-8")
         .otherwise(SUCCESS)
     )

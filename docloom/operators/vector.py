@@ -97,6 +97,11 @@ def _blocked(df: DataFrame, key: str, own: str, own_n, other: str, other_n) -> D
     )
 
 
+def _fresh(df: DataFrame, key: str) -> DataFrame:
+    """(key, v) under new column identities, so that a table can be searched with its own rows."""
+    return df.select(F.col(key).alias(key), F.col("v").alias("v"))
+
+
 def knn_exact(
     queries: DataFrame,
     corpus: DataFrame,
@@ -110,6 +115,7 @@ def knn_exact(
     Queries are broadcast when their measured size is within ``limit``;
     otherwise both sides are cut into bounded blocks. Both ways are exact.
     """
+    queries, corpus = _fresh(queries, "query_id"), _fresh(corpus, "id")
     rows, size = measured(queries)
     if size <= limit:
         return top_k(_by_broadcast(queries, corpus, k), k)
@@ -137,6 +143,8 @@ def knn_lsh(
     projections of unit vectors span a fixed range) and so safe to broadcast.
     """
 
+    queries, corpus = _fresh(queries, "query_id"), _fresh(corpus, "id")
+
     def hashed(df: DataFrame, model) -> DataFrame:
         unit = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
         norm = df.withColumn("_n", unit).withColumn(

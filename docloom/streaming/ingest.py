@@ -32,13 +32,16 @@ def stream_gold(
 ) -> None:
     """Chunk everything that has arrived since the last run, then stop.
 
-    Each micro-batch replaces its own folder ``batch_id=N``, so a batch that is
-    repeated after a failure leaves the same rows.
+    Each micro-batch replaces its own folders ``batch_id=N``, so a batch that
+    is repeated after a failure leaves the same rows. The paths of a batch are
+    kept beside its chunks: a document that lost its text has a path but no chunk.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        chunks = gold(to_silver(batch), splitter)
-        chunks.write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
+        silver_df = to_silver(batch)
+        part = f"batch_id={batch_id}"
+        silver_df.select("path").distinct().write.mode("overwrite").parquet(os.path.join(out, "paths", part))
+        gold(silver_df, splitter).write.mode("overwrite").parquet(os.path.join(out, "chunks", part))
 
     query = (
         arriving.writeStream.foreachBatch(write)
@@ -49,16 +52,17 @@ def stream_gold(
     query.awaitTermination()
 
 
-def latest(versions: DataFrame) -> DataFrame:
+def latest(versions: DataFrame, paths: DataFrame) -> DataFrame:
     """Of each path only the chunks of its newest batch.
 
-    The newest batch per path is an aggregate of two narrow columns; chunks are
-    joined to it, so a path with very many chunks can be split.
+    ``paths`` is (path, batch_id); the newest batch per path is an aggregate of
+    these two narrow columns, and chunks are joined to it, so a path with very
+    many chunks can be split.
     """
-    newest = versions.groupBy("path").agg(F.max("batch_id").alias("batch_id"))
+    newest = paths.groupBy("path").agg(F.max("batch_id").alias("batch_id"))
     return versions.join(newest, ["path", "batch_id"], "left_semi").drop("batch_id")
 
 
 def read_gold(spark: SparkSession, out: str) -> DataFrame:
     """All streamed chunks, re-ingested paths resolved to their newest version."""
-    return latest(spark.read.parquet(out))
+    return latest(spark.read.parquet(os.path.join(out, "chunks")), spark.read.parquet(os.path.join(out, "paths")))
