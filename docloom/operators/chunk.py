@@ -69,11 +69,15 @@ def fixed_chunks(size: int = SIZE, overlap: int = OVERLAP) -> Callable[[Column],
         n = F.length(text)
         steps = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
         count = F.greatest(F.lit(1), F.ceil((n - overlap) / step)).cast("int")
+        places = F.sequence(F.lit(1), count)
+        # the outer transform binds the steps, which would be cut anew for each window otherwise
         windows = F.transform(
-            F.sequence(F.lit(1), count),
-            lambda i: F.left(F.array_join(F.slice(steps, i, F.lit(span)), ""), F.lit(size)),
+            F.array(steps),
+            lambda s: F.transform(
+                places, lambda i: F.left(F.array_join(F.slice(s, i, F.lit(span)), ""), F.lit(size))
+            ),
         )
-        return F.when(n > 0, windows)
+        return F.when(n > 0, F.flatten(windows))
 
     return split
 
@@ -85,8 +89,10 @@ def gold(silver_df: DataFrame, splitter: Callable[[Column], Column] | None = Non
     ``dropped_docs``.
     """
     splitter = splitter or boundary_chunks()
-    chunks = silver_df.select("path", splitter(F.col("doc_parsed_contents.parsed_content")).alias("chunks"))
-    return chunks.select("path", F.posexplode("chunks").alias("chunk_pos", "chunked_text")).select(
+    # exploding the expression, not a column that holds it: for a column the optimizer would add a
+    # "not empty" filter and so split every text a second time
+    chunks = F.posexplode(splitter(F.col("doc_parsed_contents.parsed_content")))
+    return silver_df.select("path", chunks.alias("chunk_pos", "chunked_text")).select(
         "path", "chunked_text", F.md5("chunked_text").alias("chunk_id"), "chunk_pos"
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions.text import tokens
@@ -65,18 +65,17 @@ def truth(passages: DataFrame, corpus: DataFrame) -> DataFrame:
     A passage of fewer than three words has no inner word and is looked up by
     its rarest character instead.
     """
-    docs = corpus.select("id", "text")
     words = tokens(F.col("text"))
     split = passages.select("query_id", F.col("text").alias("passage"), words.alias("w")).where(F.length("passage") > 0)
     inner = split.where(F.size("w") > 2).withColumn("anchors", F.array_distinct(F.slice("w", 2, F.size("w") - 2)))
     short = split.where(F.size("w") <= 2).withColumn("anchors", F.array_distinct(F.split("passage", "")))
 
-    def found(asked: DataFrame, keyed: DataFrame) -> DataFrame:
-        """``keyed`` is (id, text, keys): a text and its distinct lookup keys."""
+    def found(asked: DataFrame, keys: Column) -> DataFrame:
+        """Pairs whose text holds the passage; ``keys`` are a text's distinct lookup keys."""
+        key = F.explode(keys).alias("key")
         anchors = asked.select("query_id", "passage", F.explode("anchors").alias("key")).where("key <> ''")
         wanted = broadcast_if_small(anchors.select("key").distinct())
-        keys = keyed.select(F.explode("keys").alias("key"))
-        df = keys.join(wanted, "key", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("df"))
+        df = corpus.select(key).join(wanted, "key", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("df"))
         rarest = materialise(
             anchors.join(df, "key", "left")
             .groupBy("query_id", "passage")
@@ -84,17 +83,15 @@ def truth(passages: DataFrame, corpus: DataFrame) -> DataFrame:
             "anchors",
         )
         if measured(rarest)[1] <= BROADCAST_LIMIT:
-            near = keyed.select("id", "text", F.explode("keys").alias("key")).join(F.broadcast(rarest), "key")
+            near = corpus.select("id", "text", key).join(F.broadcast(rarest), "key")
         else:  # shuffle ids and keys only; texts join the candidates afterwards
-            near = keyed.select("id", F.explode("keys").alias("key")).join(rarest, "key")
-            near = near.join(keyed.select("id", "text"), "id")
+            near = corpus.select("id", key).join(rarest, "key").join(corpus.select("id", "text"), "id")
         return near.where(F.contains("text", "passage")).select("query_id", "id")
 
-    by_word = found(inner, docs.select("id", "text", F.array_distinct(tokens(F.col("text"))).alias("keys")))
+    by_word = found(inner, F.array_distinct(words))
     if short.isEmpty():
         return by_word
-    by_char = found(short, docs.select("id", "text", F.array_distinct(F.split("text", "")).alias("keys")))
-    return by_word.unionByName(by_char)
+    return by_word.unionByName(found(short, F.array_distinct(F.split("text", ""))))
 
 
 def retrieval_quality(queries: DataFrame, hits: DataFrame, truths: DataFrame) -> DataFrame:

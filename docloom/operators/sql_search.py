@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions.text import tokens
-from docloom.session import materialise
+from docloom.session import new_folder
+
+BUCKETS = 64
+CHUNKS_PER_FILE = 10_000_000
 
 
 def postings(index: DataFrame) -> DataFrame:
@@ -17,35 +20,45 @@ def postings(index: DataFrame) -> DataFrame:
     return tf.join(length, "chunk_id").select("chunk_id", "term", (F.col("tf") / F.col("len")).alias("weight"))
 
 
-def store_postings(index: DataFrame) -> DataFrame:
-    """Postings written in (term, chunk_id) ranges: a term that every chunk holds fills many files."""
-    ordered = postings(index).repartitionByRange("term", "chunk_id").sortWithinPartitions("term", "chunk_id")
-    return materialise(ordered, "postings")
+def store_postings(index: DataFrame, chunks_per_file: int = CHUNKS_PER_FILE) -> DataFrame:
+    """Postings written in folders by a hash of the term, so a search reads its terms' folders only.
 
+    Rows of a folder are dealt by chunk over as many files as the index needs:
+    a term that every chunk holds is not written by one task.
+    """
+    spark = index.sparkSession
+    path = new_folder(spark, "postings")
+    rows = postings(index).withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(BUCKETS)))
+    files = index.count() // chunks_per_file + 1
+    deal = F.pmod(F.xxhash64("chunk_id"), F.lit(files))
+    rows.repartition("bucket", deal).write.partitionBy("bucket").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
+
+WORDS = r"split(lower({question}), '[^\\p{{L}}0-9]+')"
+# A partition filter on the folders, then a filter on the terms in them.
+WANTED = f"""array_contains(transform({WORDS}, t -> pmod(xxhash64(t), {BUCKETS})), bucket)
+    AND array_contains({WORDS}, term)"""
 # The question's terms are a handful of rows, hence the broadcast and the
 # unpartitioned window over them. The window over chunk scores is cut to the
 # wanted ranks in every task before the rest meets in one.
-SCORED = r"""
-  SELECT p.chunk_id, round(sum(p.weight * q.w), 6) AS score
-  FROM search_postings p
-  JOIN (
-    SELECT /*+ BROADCAST */ term, w / nullif(sqrt(sum(w * w) OVER ()), 0) AS w
-    FROM (
-      SELECT t.term, t.tf * ln((SELECT count(*) FROM search_index) / d.df) AS w
-      FROM (SELECT term, count(*) AS tf
-            FROM (SELECT explode(split(lower({question}), '[^\\p{{L}}0-9]+')) AS term) GROUP BY term) t
-      JOIN (SELECT term, count(*) AS df FROM search_postings
-            WHERE array_contains(split(lower({question}), '[^\\p{{L}}0-9]+'), term) GROUP BY term) d
-        ON d.term = t.term
-    )
-  ) q ON q.term = p.term
-  GROUP BY p.chunk_id
-  HAVING score > 0"""
-
 RANKED = f"""
   SELECT chunk_id, score, CAST(row_number() OVER (ORDER BY score DESC, chunk_id) AS BIGINT) AS rank
-  FROM ({SCORED})"""
+  FROM (
+    SELECT p.chunk_id, round(sum(p.weight * q.w), 6) AS score
+    FROM (SELECT * FROM search_postings WHERE {WANTED}) p
+    JOIN (
+      SELECT /*+ BROADCAST */ term, w / nullif(sqrt(sum(w * w) OVER ()), 0) AS w
+      FROM (
+        SELECT t.term, t.tf * ln((SELECT count(*) FROM search_index) / d.df) AS w
+        FROM (SELECT term, count(*) AS tf FROM (SELECT explode({WORDS}) AS term) GROUP BY term) t
+        JOIN (SELECT term, count(*) AS df FROM search_postings WHERE {WANTED} GROUP BY term) d
+          ON d.term = t.term
+      )
+    ) q ON q.term = p.term
+    GROUP BY p.chunk_id
+    HAVING score > 0
+  )"""
 
 
 def register(index: DataFrame, stored: DataFrame) -> None:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions.concat import in_order
-from docloom.functions.rank import top_k
+from docloom.functions.rank import hit_schema, in_blocks, top_k
 from docloom.functions.text import tokens
 from docloom.functions.topk import CELLS, TopK
 from docloom.session import BROADCAST_LIMIT, broadcast_if_small, materialise, measured
@@ -46,19 +46,19 @@ def query_weights(queries: DataFrame, corpus: DataFrame) -> DataFrame:
     )
 
 
-def _by_broadcast(weights: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
+def _score(weights: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
     """Each task scores whole documents against all queries and emits k hits per query.
 
     Neither term matches nor (document, query) pairs are shuffled.
     """
     local = weights.orderBy("term", "query_id").toArrow().combine_chunks()
+    if not local.num_rows:
+        return corpus.sparkSession.createDataFrame([], hit_schema(weights, corpus))
     names, q_of = np.unique(np.asarray(local["query_id"].to_pylist()), return_inverse=True)
     terms = local["term"].combine_chunks().unique()
     t_of = pc.index_in(local["term"], value_set=terms).to_numpy()
     start = np.searchsorted(t_of, np.arange(len(terms) + 1))
     shared = corpus.sparkSession.sparkContext.broadcast((names, terms, start, q_of, local["w"].to_numpy()))
-    id_type = corpus.schema["id"].dataType.simpleString()
-    query_type = weights.schema["query_id"].dataType.simpleString()
     name_type = local.schema.field("query_id").type
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,26 +99,8 @@ def _by_broadcast(weights: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
         if best.ids is not None:
             yield best.batch(names, name_type, arrow_id)
 
-    docs = corpus.select("id", tokens(F.col("text")).alias("tokens"))
-    return docs.mapInArrow(score, f"query_id {query_type}, id {id_type}, score double")
-
-
-def _by_join(weights: DataFrame, corpus: DataFrame) -> DataFrame:
-    """Term equi-join for query sets beyond the broadcast limit.
-
-    Words are folded to one row per (document, term) first. A term found in a
-    large share of the documents is a skewed key: its rows carry a salt and
-    the weights a copy per salt.
-    """
-    salts = 64
-    words = corpus.select("id", F.explode(tokens(F.col("text"))).alias("term"))
-    tf = words.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    length = tf.groupBy("id").agg(F.sqrt(F.sum(F.col("tf") * F.col("tf"))).alias("len"))
-    left = tf.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)))
-    right = weights.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
-    sums = left.join(right, ["term", "salt"]).groupBy("id", "query_id").agg(F.sum(F.col("tf") * F.col("w")).alias("s"))
-    scored = sums.join(length, "id").select("query_id", "id", F.round(F.col("s") / F.col("len"), 6).alias("score"))
-    return scored.where("score > 0")
+    docs = corpus.where(F.col("text").isNotNull()).select("id", tokens(F.col("text")).alias("tokens"))
+    return docs.mapInArrow(score, hit_schema(weights, corpus))
 
 
 def search_text(queries: DataFrame, corpus: DataFrame, k: int = 5, limit: int = BROADCAST_LIMIT) -> DataFrame:
@@ -126,11 +108,11 @@ def search_text(queries: DataFrame, corpus: DataFrame, k: int = 5, limit: int =
 
     Only documents with a positive score are hits. The corpus is read twice
     (document frequencies, scores), so pass a table rather than a long lineage.
+    Queries whose weights exceed ``limit`` bytes are searched block by block.
     """
     weights = materialise(query_weights(queries, corpus), "query-weights")
-    if measured(weights)[1] <= limit:
-        return top_k(_by_broadcast(weights, corpus, k), k)
-    return top_k(_by_join(weights, corpus), k)
+    size = measured(weights)[1]
+    return in_blocks(weights, size, limit, lambda w: top_k(_score(w, corpus, k), k))
 
 
 def retrieve(

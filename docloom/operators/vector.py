@@ -7,14 +7,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.feature import BucketedRandomProjectionLSH
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import BucketedRandomProjectionLSH, Normalizer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.functions.rank import top_k
+from docloom.functions.rank import hit_schema, in_blocks, top_k
 from docloom.functions.topk import CELLS, TopK
-from docloom.session import BROADCAST_LIMIT, measured
+from docloom.session import BROADCAST_LIMIT, materialise, measured
 
 CORPUS_BLOCK = 50_000
 QUERY_BLOCK = 4_096
@@ -37,15 +38,15 @@ def _offer(best: TopK, queries: np.ndarray, rows: np.ndarray, ids: np.ndarray) -
         best.offer(queries @ rows[at : at + step].T, ids[at : at + step])
 
 
-def _by_broadcast(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
+def _score(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
     """Each task scores its rows against all queries and emits k hits per query; no corpus shuffle."""
-    local = queries.toArrow()
     spark = corpus.sparkSession
+    local = queries.toArrow()
+    if not local.num_rows:
+        return spark.createDataFrame([], hit_schema(queries, corpus))
     shared = spark.sparkContext.broadcast(
         (np.asarray(local["query_id"].to_pylist()), _matrix(local["v"].combine_chunks()))
     )
-    id_type = corpus.schema["id"].dataType.simpleString()
-    query_type = queries.schema["query_id"].dataType.simpleString()
     name_type = local.schema.field("query_id").type
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,7 +60,7 @@ def _by_broadcast(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
         if best.ids is not None:
             yield best.batch(names, name_type, arrow_id)
 
-    return corpus.mapInArrow(score, f"query_id {query_type}, id {id_type}, score double")
+    return corpus.mapInArrow(score, hit_schema(queries, corpus))
 
 
 def _by_blocks(queries: DataFrame, corpus: DataFrame, k: int, keys: list[str]) -> DataFrame:
@@ -69,8 +70,6 @@ def _by_blocks(queries: DataFrame, corpus: DataFrame, k: int, keys: list[str]) -
     one corpus block, both of bounded size however large a key is, and emits k
     hits per query.
     """
-    id_type = corpus.schema["id"].dataType.simpleString()
-    query_type = queries.schema["query_id"].dataType.simpleString()
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
@@ -86,7 +85,7 @@ def _by_blocks(queries: DataFrame, corpus: DataFrame, k: int, keys: list[str]) -
     return (
         queries.groupBy(*group)
         .cogroup(corpus.groupBy(*group))
-        .applyInPandas(score, f"query_id {query_type}, id {id_type}, score double")
+        .applyInPandas(score, hit_schema(queries, corpus))
     )
 
 
@@ -99,31 +98,17 @@ def _blocked(df: DataFrame, key: str, own: str, own_n, other: str, other_n) -> D
 
 def _fresh(df: DataFrame, key: str) -> DataFrame:
     """(key, v) under new column identities, so that a table can be searched with its own rows."""
-    return df.select(F.col(key).alias(key), F.col("v").alias("v"))
+    return df.where(F.col("v").isNotNull()).select(F.col(key).alias(key), F.col("v").alias("v"))
 
 
-def knn_exact(
-    queries: DataFrame,
-    corpus: DataFrame,
-    k: int = 5,
-    limit: int = BROADCAST_LIMIT,
-    corpus_block: int = CORPUS_BLOCK,
-    query_block: int = QUERY_BLOCK,
-) -> DataFrame:
+def knn_exact(queries: DataFrame, corpus: DataFrame, k: int = 5, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """query_id, id, score, rank: the k nearest of ``corpus`` (id, v) per query (query_id, v).
 
-    Queries are broadcast when their measured size is within ``limit``;
-    otherwise both sides are cut into bounded blocks. Both ways are exact.
+    Queries are broadcast; where they exceed ``limit`` bytes, block by block.
     """
-    queries, corpus = _fresh(queries, "query_id"), _fresh(corpus, "id")
-    rows, size = measured(queries)
-    if size <= limit:
-        return top_k(_by_broadcast(queries, corpus, k), k)
-    n_q = F.lit(-(-rows // query_block)).cast("bigint")
-    n_c = F.lit(max(1, -(-corpus.count() // corpus_block))).cast("bigint")
-    q = _blocked(queries, "query_id", "qb", n_q, "cb", n_c)
-    c = _blocked(corpus, "id", "cb", n_c, "qb", n_q)
-    return top_k(_by_blocks(q, c, k, []), k)
+    queries, corpus = materialise(_fresh(queries, "query_id"), "queries"), _fresh(corpus, "id")
+    size = measured(queries)[1]
+    return in_blocks(queries, size, limit, lambda q: top_k(_score(q, corpus, k), k))
 
 
 def knn_lsh(
@@ -145,21 +130,18 @@ def knn_lsh(
 
     queries, corpus = _fresh(queries, "query_id"), _fresh(corpus, "id")
 
-    def hashed(df: DataFrame, model) -> DataFrame:
-        unit = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-        norm = df.withColumn("_n", unit).withColumn(
-            "u", array_to_vector(F.transform("v", lambda x: x.cast("double") / F.col("_n")))
-        )
-        return model.transform(norm).select(
-            *df.columns,
-            F.posexplode(F.transform("h", lambda x: F.xxhash64(x.cast("string")))).alias("table", "bucket"),
-        )
+    def hashed(df: DataFrame, model: PipelineModel) -> DataFrame:
+        vectors = df.withColumn("raw", array_to_vector(F.col("v").cast("array<double>")))
+        buckets = F.transform("h", lambda x: F.xxhash64(x.cast("string")))
+        return model.transform(vectors).select(*df.columns, F.posexplode(buckets).alias("table", "bucket"))
 
+    unit = Normalizer(inputCol="raw", outputCol="u")
     lsh = BucketedRandomProjectionLSH(
         inputCol="u", outputCol="h", numHashTables=tables, bucketLength=bucket_length, seed=seed
     )
-    sample = corpus.limit(1).select(array_to_vector(F.col("v").cast("array<double>")).alias("u"))
-    model = lsh.fit(sample)
+    # fitting draws random directions; it only needs to see one vector's length
+    sample = corpus.limit(1).select(array_to_vector(F.col("v").cast("array<double>")).alias("raw"))
+    model = Pipeline(stages=[unit, lsh]).fit(sample)
     key = ["table", "bucket"]
     q, c = hashed(queries, model), hashed(corpus, model)
 

@@ -12,7 +12,7 @@ from docloom.operators import chat, chunk, embed, evaluate, extract, infer, prom
 from docloom.operators import index as index_ops
 from docloom.plans import clients
 from docloom.plans import tables as t
-from docloom.session import new_folder
+from docloom.session import new_folder, spread
 from docloom.sources import files
 from docloom.sources import tables as sinks
 from docloom.streaming import ingest
@@ -62,7 +62,7 @@ def manifest_last_wins(spark, sf):
 @query
 def landing_status(spark, sf):
     """Documents are delivered as text files per source; pages' hosts are listed but not delivered."""
-    docs = t.table(spark, sf, "documents")
+    docs = t.documents(spark, sf)
     folder = new_folder(spark, "landing")
     docs.select("text", F.col("source").alias("name")).write.partitionBy("name").text(folder)
     landed = files.read_files(spark, folder, "*.txt").select(
@@ -121,7 +121,7 @@ def silver_status_counts(spark, sf):
 
 
 def _document_silver(spark, sf) -> DataFrame:
-    return t.document_silver(t.table(spark, sf, "documents"))
+    return t.document_silver(t.documents(spark, sf))
 
 
 def _gold_columns(gold_df: DataFrame) -> DataFrame:
@@ -170,10 +170,10 @@ def index_apply_changes(spark, sf):
 
 @query
 def stream_gold_chunks(spark, sf):
-    docs = t.table(spark, sf, "documents")
-    arriving = spark.readStream.schema(docs.schema).option("pathGlobFilter", "documents.parquet").parquet(sf)
+    schema = t.table(spark, sf, "documents").schema
+    arriving = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf)
     out, checkpoint = new_folder(spark, "stream"), new_folder(spark, "stream-checkpoint")
-    ingest.stream_gold(arriving, t.document_silver, out, checkpoint)
+    ingest.stream_gold(arriving, lambda df: t.document_silver(spread(df, "doc_id")), out, checkpoint)
     return _gold_columns(ingest.read_gold(spark, out))
 
 
@@ -207,7 +207,7 @@ def knn_lsh(spark, sf):
 
 @query
 def search_text_tfidf(spark, sf):
-    corpus = t.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    corpus = t.documents(spark, sf).select(F.col("doc_id").alias("id"), "text")
     return _ranked(text_search.search_text(t.questions(spark, sf), corpus, K))
 
 
@@ -423,6 +423,6 @@ def eval_summary(spark, sf):
 @query
 def eval_retrieval(spark, sf):
     asked = t.questions(spark, sf)
-    corpus = t.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    corpus = t.documents(spark, sf).select(F.col("doc_id").alias("id"), "text")
     hits = text_search.search_text(asked, corpus, 5)
     return evaluate.retrieval_quality(asked, hits, evaluate.truth(asked, corpus))

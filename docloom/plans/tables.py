@@ -12,7 +12,7 @@ from docloom.operators.chunk import fixed_chunks, gold
 from docloom.operators.extract import parsed
 from docloom.operators.index import build_index
 from docloom.operators.sql_search import store_postings
-from docloom.session import materialise
+from docloom.session import materialise, spread
 from docloom.sources.files import read_files
 
 EMAIL = r"[A-Za-z0-9._+-]+@[A-Za-z0-9.-]+"
@@ -31,6 +31,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(table(spark, sf, "documents"), "doc_id")
+
+
 def written(spark: SparkSession, sf: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
     """A derived table, written once per application and read by every query that needs it."""
     key = (spark.sparkContext.applicationId, sf, name)
@@ -40,7 +44,7 @@ def written(spark: SparkSession, sf: str, name: str, make: Callable[[], DataFram
 
 
 def bronze_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "pages").select(
+    return spread(table(spark, sf, "pages"), "page_id").select(
         F.col("url").alias("path"),
         F.lit("2024-01-01 00:00:00").cast("timestamp").alias("modificationTime"),
         F.octet_length("html").cast("bigint").alias("length"),
@@ -72,9 +76,13 @@ def without(docs: DataFrame, labels: DataFrame, condition: str) -> DataFrame:
 
 def gold_version(spark: SparkSession, sf: str, number: int) -> DataFrame:
     """Version 1 leaves out documents labelled poor, version 2 those labelled toxic."""
-    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
-    kept = without(docs, labels, "quality = 0" if number == 1 else "toxic = 1")
-    return gold(document_silver(kept), fixed_chunks())
+
+    def make() -> DataFrame:
+        docs, labels = documents(spark, sf), table(spark, sf, "labels")
+        kept = without(docs, labels, "quality = 0" if number == 1 else "toxic = 1")
+        return gold(document_silver(kept), fixed_chunks())
+
+    return written(spark, sf, f"gold-v{number}", make)
 
 
 def index(spark: SparkSession, sf: str) -> DataFrame:
@@ -82,7 +90,7 @@ def index(spark: SparkSession, sf: str) -> DataFrame:
         spark,
         sf,
         "index",
-        lambda: build_index(gold(document_silver(table(spark, sf, "documents")), fixed_chunks())),
+        lambda: build_index(gold(document_silver(documents(spark, sf)), fixed_chunks())),
     )
 
 
@@ -107,7 +115,7 @@ def user_turns(spark: SparkSession, sf: str) -> DataFrame:
 
 def users(spark: SparkSession, sf: str) -> DataFrame:
     """The addresses that occur in the documents' texts."""
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         F.explode(F.regexp_extract_all("text", F.lit(EMAIL), F.lit(0))).alias("user_name")
     )
 

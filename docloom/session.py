@@ -84,3 +84,13 @@ def measured(df: DataFrame) -> tuple[int, int]:
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Broadcast hint only when ``df``'s measured size is within ``limit``."""
     return F.broadcast(df) if measured(df)[1] <= limit else df
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """``df`` on all cores, by one shuffle, if its scan has fewer partitions than there are cores.
+
+    Files that cannot be split leave most of a cluster idle; a scan that
+    already fills it is passed on as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
