@@ -51,7 +51,7 @@ def _score(weights: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
 
     Neither term matches nor (document, query) pairs are shuffled.
     """
-    local = weights.orderBy("term", "query_id").toArrow().combine_chunks()
+    local = weights.toArrow().combine_chunks().sort_by([("term", "ascending"), ("query_id", "ascending")])
     if not local.num_rows:
         return corpus.sparkSession.createDataFrame([], hit_schema(weights, corpus))
     names, q_of = np.unique(np.asarray(local["query_id"].to_pylist()), return_inverse=True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,12 +11,13 @@ import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import BucketedRandomProjectionLSH, Normalizer
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.functions.rank import hit_schema, in_blocks, top_k
+from docloom.functions.skew import left_join_unique
 from docloom.functions.topk import CELLS, TopK
-from docloom.session import BROADCAST_LIMIT, materialise, measured
+from docloom.session import BROADCAST_LIMIT, broadcast_if_small, materialise, measured
 
 CORPUS_BLOCK = 50_000
 QUERY_BLOCK = 4_096
@@ -63,7 +65,7 @@ def _score(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
     return corpus.mapInArrow(score, hit_schema(queries, corpus))
 
 
-def _by_blocks(queries: DataFrame, corpus: DataFrame, k: int, keys: list[str]) -> DataFrame:
+def _score_blocks(queries: DataFrame, corpus: DataFrame, k: int, keys: list[str]) -> DataFrame:
     """Block-wise scoring of the rows that agree on ``keys``.
 
     Both sides carry (``keys``, qb, cb); every group is one query block against
@@ -116,40 +118,58 @@ def knn_lsh(
     corpus: DataFrame,
     k: int = 5,
     tables: int = 6,
+    width: int | None = None,
     bucket_length: float = 0.5,
     seed: int = 42,
     corpus_block: int = CORPUS_BLOCK,
     query_block: int = QUERY_BLOCK,
 ) -> DataFrame:
-    """Approximate neighbours: exact ranking among rows that share a projection bucket.
+    """Approximate neighbours: exact ranking among rows that share a bucket in any of ``tables`` tables.
 
-    Buckets come from MLlib's random projections. A bucket that holds a large
-    share of the rows is cut into bounded blocks; bucket counts are few (the
-    projections of unit vectors span a fixed range) and so safe to broadcast.
-    """
+    A bucket is ``width`` of MLlib's random projections taken together; by
+    default as many as bring a bucket of this corpus down to about one block,
+    so the work per query does not grow with the corpus. More tables find more.
 
+    Equal vectors are searched for and offered once, whatever their number:
+    of a corpus vector only the k smallest ids can be hits, and equal queries
+    have equal hits. Buckets that are large all the same are cut into blocks.
+    """
     queries, corpus = _fresh(queries, "query_id"), _fresh(corpus, "id")
-
-    def hashed(df: DataFrame, model: PipelineModel) -> DataFrame:
-        vectors = df.withColumn("raw", array_to_vector(F.col("v").cast("array<double>")))
-        buckets = F.transform("h", lambda x: F.xxhash64(x.cast("string")))
-        return model.transform(vectors).select(*df.columns, F.posexplode(buckets).alias("table", "bucket"))
+    copies = Window.partitionBy("v").orderBy("id")
+    offered = corpus.withColumn("n", F.row_number().over(copies)).where(F.col("n") <= k).drop("n")
+    offered = materialise(offered, "lsh-corpus")
+    asked = queries.groupBy("v").agg(F.min("query_id").alias("query_id"), F.count(F.lit(1)).alias("rows"))
+    asked = materialise(asked, "lsh-queries")
+    if width is None:
+        width = max(1, math.ceil(math.log2(max(1, offered.count()) / corpus_block)))
 
     unit = Normalizer(inputCol="raw", outputCol="u")
     lsh = BucketedRandomProjectionLSH(
-        inputCol="u", outputCol="h", numHashTables=tables, bucketLength=bucket_length, seed=seed
+        inputCol="u", outputCol="h", numHashTables=tables * width, bucketLength=bucket_length, seed=seed
     )
     # fitting draws random directions; it only needs to see one vector's length
     sample = corpus.limit(1).select(array_to_vector(F.col("v").cast("array<double>")).alias("raw"))
     model = Pipeline(stages=[unit, lsh]).fit(sample)
     key = ["table", "bucket"]
-    q, c = hashed(queries, model), hashed(corpus, model)
 
-    def blocks(df: DataFrame, name: str, size: int) -> DataFrame:
-        return df.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / size).cast("bigint").alias(name))
+    def hashed(df: DataFrame, *columns: str) -> DataFrame:
+        vectors = df.withColumn("raw", array_to_vector(F.col("v").cast("array<double>")))
+        buckets = F.transform(
+            F.sequence(F.lit(0), F.lit(tables - 1)),
+            lambda i: F.xxhash64(F.transform(F.slice("h", i * width + 1, F.lit(width)), lambda x: x.cast("string"))),
+        )
+        return model.transform(vectors).select(*columns, F.posexplode(buckets).alias(*key))
 
-    counts = blocks(q, "nq", query_block).join(blocks(c, "nc", corpus_block), key)
-    q = _blocked(q.join(counts, key), "query_id", "qb", F.col("nq"), "cb", F.col("nc"))
-    c = _blocked(c.join(counts, key), "id", "cb", F.col("nc"), "qb", F.col("nq"))
-    found = _by_blocks(q.drop("nq", "nc"), c.drop("nq", "nc"), k, key)
-    return top_k(found.distinct(), k)
+    def blocks(df: DataFrame, name: str, size: int) -> DataFrame:
+        return hashed(df).groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / size).cast("bigint").alias(name))
+
+    counts = blocks(asked, "nq", query_block).join(blocks(offered, "nc", corpus_block), key)
+    counts = materialise(counts, "lsh-blocks")
+    q = hashed(asked, "query_id", "v").join(broadcast_if_small(counts), key)
+    c = hashed(offered, "id", "v").join(broadcast_if_small(counts), key)
+    q = _blocked(q, "query_id", "qb", F.col("nq"), "cb", F.col("nc")).drop("nq", "nc")
+    c = _blocked(c, "id", "cb", F.col("nc"), "qb", F.col("nq")).drop("nq", "nc")
+    found = top_k(_score_blocks(q, c, k, key).distinct(), k)
+    per_vector = found.groupBy("query_id").agg(F.collect_list(F.struct("id", "score", "rank")).alias("hits"))
+    answers = materialise(asked.join(per_vector, "query_id").select("v", "rows", "hits"), "lsh-hits")
+    return left_join_unique(queries, answers, "v", "rows").select("query_id", F.inline("hits"))

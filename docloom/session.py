@@ -74,7 +74,8 @@ def measured(df: DataFrame) -> tuple[int, int]:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
         elif isinstance(field.dataType, T.ArrayType):
-            width = width + 8 * F.greatest(F.coalesce(F.size(field.name), F.lit(0)), F.lit(0))
+            size = 32 if isinstance(field.dataType.elementType, T.StructType) else 8
+            width = width + size * F.greatest(F.coalesce(F.size(field.name), F.lit(0)), F.lit(0))
         else:
             width = width + 8
     row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width.cast("bigint")).alias("b")).first()

@@ -97,15 +97,31 @@ def test_knn_with_its_own_rows_and_ties(spark):
     assert sorted((r.query_id, r.id) for r in got) == [(5, 0), (5, 1), (5, 2), (20, 0), (20, 1), (20, 20)]
 
 
-def test_lsh_recall_and_hot_bucket(spark, sf):
+def test_lsh_recall_and_large_buckets(spark, sf):
     corpus = vectors(spark, sf, "id")
     want = set(brute_knn(corpus.collect(), 3))
     # blocks far smaller than the buckets: a large bucket is many groups
-    got = vector.knn_lsh(vectors(spark, sf, "query_id"), corpus, 3, corpus_block=40, query_block=30)
+    got = vector.knn_lsh(vectors(spark, sf, "query_id"), corpus, 3, width=1, corpus_block=40, query_block=30)
     found = {tuple(r) for r in got.select("query_id", "id", "rank").collect()}
-    whole = vector.knn_lsh(vectors(spark, sf, "query_id"), corpus, 3)
+    whole = vector.knn_lsh(vectors(spark, sf, "query_id"), corpus, 3, width=1)
     assert found == {tuple(r) for r in whole.select("query_id", "id", "rank").collect()}
     assert len(found & want) / len(want) > 0.9
+    # narrower buckets find less with as many tables, and more with more
+    narrow = vector.knn_lsh(vectors(spark, sf, "query_id"), corpus, 3, width=4, tables=4)
+    wider = vector.knn_lsh(vectors(spark, sf, "query_id"), corpus, 3, width=4, tables=24)
+    few, many = ({tuple(r) for r in d.select("query_id", "id", "rank").collect()} & want for d in (narrow, wider))
+    assert len(few) < len(many)
+
+
+def test_lsh_copies(spark):
+    rows = [(i, [1.0, 0.0, 0.0]) for i in range(300)] + [(300 + i, [0.5, 1.0, i / 50]) for i in range(50)]
+    df = spark.createDataFrame(rows, "id int, v array<float>").repartition(6)
+    got = vector.knn_lsh(df.withColumnRenamed("id", "query_id"), df, 3, query_block=10, corpus_block=10, width=1)
+    hits = {}
+    for r in got.collect():
+        hits.setdefault(r.query_id, []).append((r["rank"], r.id))
+    assert all(sorted(hits[i]) == [(1, 0), (2, 1), (3, 2)] for i in range(300))
+    assert len(hits) == 350
 
 
 def test_context_and_arrays(spark):
