@@ -48,6 +48,11 @@ class TopK:
 
     def batch(self, names: np.ndarray, name_type: pa.DataType, id_type: pa.DataType) -> pa.RecordBatch:
         """The hits kept so far as (query_id, id, score)."""
+        if self.ids is None:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([], name_type), pa.array([], id_type), pa.array([], pa.float64())],
+                names=["query_id", "id", "score"],
+            )
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(names[self.query].tolist(), type=name_type),

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions.text import tokens
+from docloom.session import materialise
 
 Embedder = Callable[[list[str]], list[list[float]]]
 EmbedderFactory = Callable[[], Embedder]
@@ -20,7 +21,8 @@ EmbedderFactory = Callable[[], Embedder]
 def embed(index: DataFrame, client: EmbedderFactory, batch: int = 64) -> DataFrame:
     """``index`` with an embedding column; one client per task, ``batch`` texts per call.
 
-    The index has one row per distinct chunk, so each text is embedded once.
+    The index has one row per distinct chunk, so each text is embedded once;
+    the result is written out, so later actions do not call the model again.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -31,7 +33,7 @@ def embed(index: DataFrame, client: EmbedderFactory, batch: int = 64) -> DataFra
                 yield part.assign(embedding=list(model(part["chunked_text"].tolist())))
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in index.schema.fields)
-    return index.mapInPandas(run, f"{fields}, embedding array<float>")
+    return materialise(index.mapInPandas(run, f"{fields}, embedding array<float>"), "embedded")
 
 
 def hashed_model(texts: DataFrame, text: str, features: int = 256) -> PipelineModel:

@@ -9,18 +9,17 @@ INSERT, DELETE = "insert", "delete"
 
 
 def build_index(gold_df: DataFrame) -> DataFrame:
-    """chunk_id (unique), chunked_text, path (smallest), n_sources.
+    """chunk_id (unique), chunked_text, path (smallest), n_sources; ``gold_df`` should be a table.
 
-    Two steps, (chunk_id, path) and then chunk_id: copies within a document
-    fold in the map tasks, and boilerplate shared by a third of all documents
-    is spread by path before its one row per path is folded again.
+    Keys and texts are handled apart. (chunk_id, path) pairs are folded in the
+    map tasks, so boilerplate shared by a third of all documents is spread by
+    path before its one row per path is folded again. The texts, the bulk of
+    the data, are then shuffled once, to the row that names their id and path.
     """
-    per_path = gold_df.groupBy("chunk_id", "path").agg(F.min("chunked_text").alias("chunked_text"))
-    return per_path.groupBy("chunk_id").agg(
-        F.min("chunked_text").alias("chunked_text"),
-        F.min("path").alias("path"),
-        F.count(F.lit(1)).alias("n_sources"),
-    )
+    pairs = gold_df.select("chunk_id", "path").distinct()
+    ids = pairs.groupBy("chunk_id").agg(F.min("path").alias("path"), F.count(F.lit(1)).alias("n_sources"))
+    kept = gold_df.select("chunk_id", "path", "chunked_text").join(ids, ["chunk_id", "path"])
+    return kept.dropDuplicates(["chunk_id", "path"]).select("chunk_id", "chunked_text", "path", "n_sources")
 
 
 def change_feed(old: DataFrame, new: DataFrame) -> DataFrame:

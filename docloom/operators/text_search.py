@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.functions.concat import in_order
@@ -40,9 +40,10 @@ def query_weights(queries: DataFrame, corpus: DataFrame) -> DataFrame:
     )
     n = corpus.agg(F.count(F.lit(1)).alias("n")).scalar()
     raw = tf.join(df, "term").withColumn("w", F.col("tf") * F.log(n / F.col("df")))
-    length = raw.groupBy("query_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("len"))
-    return raw.join(length.where("len > 0"), "query_id").select(
-        "query_id", "term", (F.col("w") / F.col("len")).alias("w")
+    # a query's terms are the words of one row, so this window is small
+    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("query_id")))
+    return (
+        raw.withColumn("len", length).where("len > 0").select("query_id", "term", (F.col("w") / F.col("len")).alias("w"))
     )
 
 

@@ -6,11 +6,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import BucketedRandomProjectionLSH, Normalizer
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,22 +69,18 @@ def _score_blocks(queries: DataFrame, corpus: DataFrame, k: int, keys: list[str]
     hits per query.
     """
 
-    def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "id": [], "score": []})
-        best = TopK(len(left), k)
-        q = _unit(np.stack(left["v"].to_numpy()).astype(np.float64))
-        c = _unit(np.stack(right["v"].to_numpy()).astype(np.float64))
-        _offer(best, q, c, np.asarray(right["id"].tolist()))
-        names = left["query_id"].to_numpy()
-        return pd.DataFrame({"query_id": names[best.query], "id": best.ids, "score": best.score})
+    schema = hit_schema(queries, corpus)
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        names, ids = left["query_id"].combine_chunks(), right["id"].combine_chunks()
+        best = TopK(len(names), k)
+        if len(names) and len(ids):
+            queries = _matrix(left["v"].combine_chunks())
+            _offer(best, queries, _matrix(right["v"].combine_chunks()), np.asarray(ids.to_pylist()))
+        return pa.Table.from_batches([best.batch(np.asarray(names.to_pylist()), names.type, ids.type)])
 
     group = [*keys, "qb", "cb"]
-    return (
-        queries.groupBy(*group)
-        .cogroup(corpus.groupBy(*group))
-        .applyInPandas(score, hit_schema(queries, corpus))
-    )
+    return queries.groupBy(*group).cogroup(corpus.groupBy(*group)).applyInArrow(score, schema)
 
 
 def _blocked(df: DataFrame, key: str, own: str, own_n, other: str, other_n) -> DataFrame:
@@ -98,6 +90,27 @@ def _blocked(df: DataFrame, key: str, own: str, own_n, other: str, other_n) -> D
     )
 
 
+def _bucketer(size: int, tables: int, width: int, length: float, seed: int):
+    """An Arrow function vector -> one bucket per table.
+
+    Each table cuts the unit vector's projections onto ``width`` random
+    directions into steps of ``length`` and folds the steps into one number.
+    """
+    rng = np.random.default_rng(seed)
+    directions = _unit(rng.normal(size=(tables * width, size))).T
+    offsets = rng.uniform(0, length, tables * width)
+    fold = rng.integers(1, 1 << 62, tables * width) * 2 + 1
+
+    @F.arrow_udf("array<bigint>")
+    def buckets(vectors: pa.Array) -> pa.Array:
+        steps = np.floor((_matrix(vectors) @ directions + offsets) / length).astype(np.int64)
+        with np.errstate(over="ignore"):
+            ids = (steps * fold).reshape(len(vectors), tables, width).sum(axis=2)
+        return pa.FixedSizeListArray.from_arrays(pa.array(ids.ravel()), tables).cast(pa.list_(pa.int64()))
+
+    return buckets
+
+
 def _fresh(df: DataFrame, key: str) -> DataFrame:
     """(key, v) under new column identities, so that a table can be searched with its own rows."""
     return df.where(F.col("v").isNotNull()).select(F.col(key).alias(key), F.col("v").alias("v"))
@@ -113,6 +126,20 @@ def knn_exact(queries: DataFrame, corpus: DataFrame, k: int = 5, limit: int = BR
     return in_blocks(queries, size, limit, lambda q: top_k(_score(q, corpus, k), k))
 
 
+def _few_copies(corpus: DataFrame, k: int) -> DataFrame:
+    """(id, v) with the k smallest ids of every distinct vector.
+
+    Only vectors whose hash occurs more than k times are compared and ranked;
+    the group limit below that shuffle keeps k copies per task.
+    """
+    rows = corpus.withColumn("hash", F.xxhash64("v"))
+    many = rows.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > k).select("hash")
+    many = broadcast_if_small(materialise(many, "copied-vectors"))
+    copies = Window.partitionBy("hash", "v").orderBy("id")
+    ranked = rows.join(many, "hash").withColumn("n", F.row_number().over(copies)).where(F.col("n") <= k)
+    return rows.join(many, "hash", "left_anti").select("id", "v").unionByName(ranked.select("id", "v"))
+
+
 def knn_lsh(
     queries: DataFrame,
     corpus: DataFrame,
@@ -126,47 +153,35 @@ def knn_lsh(
 ) -> DataFrame:
     """Approximate neighbours: exact ranking among rows that share a bucket in any of ``tables`` tables.
 
-    A bucket is ``width`` of MLlib's random projections taken together; by
-    default as many as bring a bucket of this corpus down to about one block,
-    so the work per query does not grow with the corpus. More tables find more.
+    A bucket is ``width`` random projections taken together; by default as
+    many as bring a bucket of this corpus down to about one block, so the work
+    per query does not grow with the corpus. More tables find more.
 
     Equal vectors are searched for and offered once, whatever their number:
     of a corpus vector only the k smallest ids can be hits, and equal queries
     have equal hits. Buckets that are large all the same are cut into blocks.
     """
     queries, corpus = _fresh(queries, "query_id"), _fresh(corpus, "id")
-    copies = Window.partitionBy("v").orderBy("id")
-    offered = corpus.withColumn("n", F.row_number().over(copies)).where(F.col("n") <= k).drop("n")
-    offered = materialise(offered, "lsh-corpus")
+    offered = materialise(_few_copies(corpus, k), "lsh-corpus")
     asked = queries.groupBy("v").agg(F.min("query_id").alias("query_id"), F.count(F.lit(1)).alias("rows"))
     asked = materialise(asked, "lsh-queries")
     if width is None:
         width = max(1, math.ceil(math.log2(max(1, offered.count()) / corpus_block)))
 
-    unit = Normalizer(inputCol="raw", outputCol="u")
-    lsh = BucketedRandomProjectionLSH(
-        inputCol="u", outputCol="h", numHashTables=tables * width, bucketLength=bucket_length, seed=seed
-    )
-    # fitting draws random directions; it only needs to see one vector's length
-    sample = corpus.limit(1).select(array_to_vector(F.col("v").cast("array<double>")).alias("raw"))
-    model = Pipeline(stages=[unit, lsh]).fit(sample)
+    first = offered.select(F.size("v").alias("n")).first()
+    buckets = _bucketer(first["n"] if first else 1, tables, width, bucket_length, seed)
     key = ["table", "bucket"]
 
     def hashed(df: DataFrame, *columns: str) -> DataFrame:
-        vectors = df.withColumn("raw", array_to_vector(F.col("v").cast("array<double>")))
-        buckets = F.transform(
-            F.sequence(F.lit(0), F.lit(tables - 1)),
-            lambda i: F.xxhash64(F.transform(F.slice("h", i * width + 1, F.lit(width)), lambda x: x.cast("string"))),
-        )
-        return model.transform(vectors).select(*columns, F.posexplode(buckets).alias(*key))
+        return df.select(*columns, F.posexplode(buckets("v")).alias(*key))
 
     def blocks(df: DataFrame, name: str, size: int) -> DataFrame:
         return hashed(df).groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / size).cast("bigint").alias(name))
 
     counts = blocks(asked, "nq", query_block).join(blocks(offered, "nc", corpus_block), key)
-    counts = materialise(counts, "lsh-blocks")
-    q = hashed(asked, "query_id", "v").join(broadcast_if_small(counts), key)
-    c = hashed(offered, "id", "v").join(broadcast_if_small(counts), key)
+    counts = broadcast_if_small(materialise(counts, "lsh-blocks"))
+    q = hashed(asked, "query_id", "v").join(counts, key)
+    c = hashed(offered, "id", "v").join(counts, key)
     q = _blocked(q, "query_id", "qb", F.col("nq"), "cb", F.col("nc")).drop("nq", "nc")
     c = _blocked(c, "id", "cb", F.col("nc"), "qb", F.col("nq")).drop("nq", "nc")
     found = top_k(_score_blocks(q, c, k, key).distinct(), k)

@@ -196,7 +196,7 @@ def oracle() -> dict[str, str]:
             QUALIFY row_number() OVER (PARTITION BY name ORDER BY page_id DESC) = 1""",
         "landing_status": """
             SELECT source AS name, 'documents/' || source AS url, 'LANDED' AS status,
-                   sum(strlen(text) + 1)::BIGINT AS landed_bytes FROM documents GROUP BY source
+                   sum(strlen(doc_id::VARCHAR) + 1)::BIGINT AS landed_bytes FROM documents GROUP BY source
             UNION ALL
             SELECT DISTINCT h, '//' || h, 'MISSING', 0
             FROM (SELECT regexp_extract(url, '^https?://([^/]+)', 1) AS h FROM pages)""",

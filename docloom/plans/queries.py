@@ -12,7 +12,7 @@ from docloom.operators import chat, chunk, embed, evaluate, extract, infer, prom
 from docloom.operators import index as index_ops
 from docloom.plans import clients
 from docloom.plans import tables as t
-from docloom.session import new_folder, spread
+from docloom.session import materialise, new_folder, spread
 from docloom.sources import files
 from docloom.sources import tables as sinks
 from docloom.streaming import ingest
@@ -61,10 +61,12 @@ def manifest_last_wins(spark, sf):
 
 @query
 def landing_status(spark, sf):
-    """Documents are delivered as text files per source; pages' hosts are listed but not delivered."""
-    docs = t.documents(spark, sf)
+    """Sources deliver files with the ids of their documents; pages' hosts are listed but deliver none."""
+    docs = t.table(spark, sf, "documents").select("doc_id", "source")
     folder = new_folder(spark, "landing")
-    docs.select("text", F.col("source").alias("name")).write.partitionBy("name").text(folder)
+    lines = docs.select(F.col("doc_id").cast("string").alias("value"), F.col("source").alias("name"))
+    # a few files per source, however many documents it has and tasks write them
+    lines.repartition("name", F.pmod(F.xxhash64("value"), F.lit(4))).write.partitionBy("name").text(folder)
     landed = files.read_files(spark, folder, "*.txt").select(
         F.regexp_extract("path", "name=([^/]+)/", 1).alias("name"), "length"
     )
@@ -154,7 +156,7 @@ def gold_dropped_docs(spark, sf):
 
 @query
 def index_dedupe(spark, sf):
-    return index_ops.build_index(chunk.gold(_document_silver(spark, sf), chunk.fixed_chunks()))
+    return index_ops.build_index(t.gold_table(spark, sf))
 
 
 @query
@@ -165,7 +167,8 @@ def gold_change_feed(spark, sf):
 @query
 def index_apply_changes(spark, sf):
     old, new = t.gold_version(spark, sf, 1), t.gold_version(spark, sf, 2)
-    return index_ops.build_index(index_ops.apply_changes(old, new, index_ops.change_feed(old, new)))
+    applied = index_ops.apply_changes(old, new, index_ops.change_feed(old, new))
+    return index_ops.build_index(materialise(applied, "gold-applied"))
 
 
 @query

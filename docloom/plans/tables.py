@@ -85,13 +85,13 @@ def gold_version(spark: SparkSession, sf: str, number: int) -> DataFrame:
     return written(spark, sf, f"gold-v{number}", make)
 
 
+def gold_table(spark: SparkSession, sf: str) -> DataFrame:
+    make = lambda: gold(document_silver(documents(spark, sf)), fixed_chunks())
+    return written(spark, sf, "gold", make)
+
+
 def index(spark: SparkSession, sf: str) -> DataFrame:
-    return written(
-        spark,
-        sf,
-        "index",
-        lambda: build_index(gold(document_silver(documents(spark, sf)), fixed_chunks())),
-    )
+    return written(spark, sf, "index", lambda: build_index(gold_table(spark, sf)))
 
 
 def stored_postings(spark: SparkSession, sf: str) -> DataFrame:
