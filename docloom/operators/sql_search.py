@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docloom.functions.terms import unit_weights
 from docloom.functions.text import tokens
 from docloom.session import new_folder
 
@@ -15,19 +16,9 @@ CHUNKS_PER_FILE = 10_000_000
 def postings(index: DataFrame) -> DataFrame:
     """chunk_id, term, weight: a chunk's term frequencies at unit length.
 
-    Chunks are dealt out by id once; counting words per chunk, measuring the
-    chunk and pairing the two then need no further shuffle. A list of one
-    chunk's terms is bounded by the size of a chunk.
+    Counted chunk by chunk, so nothing is shuffled.
     """
-    dealt = index.select("chunk_id", "chunked_text").repartition("chunk_id")
-    words = dealt.select("chunk_id", F.explode(tokens(F.col("chunked_text"))).alias("term"))
-    tf = words.groupBy("chunk_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    per_chunk = tf.groupBy("chunk_id").agg(
-        F.sqrt(F.sum(F.col("tf") * F.col("tf"))).alias("len"), F.collect_list(F.struct("term", "tf")).alias("terms")
-    )
-    return per_chunk.select("chunk_id", "len", F.inline("terms")).select(
-        "chunk_id", "term", (F.col("tf") / F.col("len")).alias("weight")
-    )
+    return index.select("chunk_id", F.inline(unit_weights(tokens(F.col("chunked_text")))))
 
 
 def store_postings(index: DataFrame, chunks_per_file: int = CHUNKS_PER_FILE) -> DataFrame:

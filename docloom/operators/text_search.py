@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions.concat import in_order
 from docloom.functions.rank import hit_schema, in_blocks, top_k
+from docloom.functions.terms import term_counts
 from docloom.functions.text import tokens
 from docloom.functions.topk import CELLS, TopK
 from docloom.session import BROADCAST_LIMIT, broadcast_if_small, materialise, measured
@@ -68,35 +69,33 @@ def _score(weights: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
         best = TopK(n_q, k)
         for batch in batches:
             n = batch.num_rows
-            lists = batch.column("tokens")
-            words = lists.flatten().dictionary_encode()
-            if not n or not len(words):
+            doc, word, tf, length, words = term_counts(batch.column("tokens"))
+            if not len(words):
                 continue
             arrow_id = batch.column("id").type
             ids = np.asarray(batch.column("id").to_pylist())
-            doc = np.repeat(np.arange(n), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-            kinds = len(words.dictionary)
-            key, tf = np.unique(doc * kinds + words.indices.to_numpy(), return_counts=True)
-            doc, word = key // kinds, key % kinds
-            length = np.sqrt(np.bincount(doc, tf.astype(float) ** 2, minlength=n))
-            term = pc.fill_null(pc.index_in(words.dictionary, value_set=terms), -1).to_numpy()[word]
+            term = pc.fill_null(pc.index_in(words, value_set=terms), -1).to_numpy()[word]
             hit = term >= 0
             doc, term, tf = doc[hit], term[hit], tf[hit]
             fan = start[term + 1] - start[term]
-            # slices of whole documents whose (document x query) block stays small
-            step = max(1, CELLS // max(1, n_q))
-            for at in range(0, n, step):
-                lo, hi = np.searchsorted(doc, [at, min(n, at + step)])
-                if lo == hi:
-                    continue
-                f = fan[lo:hi]
-                row = np.repeat(np.arange(lo, hi), f)
-                entry = np.arange(f.sum()) - np.repeat(np.cumsum(f) - f, f) + start[term[row]]
-                rows = min(n, at + step) - at
-                cell = q_of[entry] * rows + (doc[row] - at)
-                sums = np.bincount(cell, tf[row] * weight[entry], minlength=n_q * rows).reshape(n_q, rows)
-                sums = np.round(sums / np.maximum(length[at : at + rows], 1.0), 6)
-                best.offer(sums, ids[at : at + rows], sums > 0)
+            # slices of whole documents with few (document, query) cells and few term matches
+            matches = np.cumsum(np.bincount(doc, fan, minlength=n))
+            at = 0
+            while at < n:
+                seen = matches[at - 1] if at else 0
+                end = min(n, at + max(1, CELLS // n_q), np.searchsorted(matches, seen + CELLS, side="right"))
+                end = max(end, at + 1)
+                lo, hi = np.searchsorted(doc, [at, end])
+                if lo < hi:
+                    f = fan[lo:hi]
+                    row = np.repeat(np.arange(lo, hi), f)
+                    entry = np.arange(f.sum()) - np.repeat(np.cumsum(f) - f, f) + start[term[row]]
+                    cell = q_of[entry] * (end - at) + (doc[row] - at)
+                    sums = np.bincount(cell, tf[row] * weight[entry], minlength=n_q * (end - at))
+                    sums = sums.reshape(n_q, end - at) / np.maximum(length[at:end], 1.0)
+                    sums = np.round(sums, 6)
+                    best.offer(sums, ids[at:end], sums > 0)
+                at = end
         if best.ids is not None:
             yield best.batch(names, name_type, arrow_id)
 
