@@ -67,7 +67,8 @@ def register(index: DataFrame, stored: DataFrame) -> None:
 
     ``search_chunks(question)`` gives the five best chunk texts as one string,
     ``vector_search(query, num_results)`` gives ranked rows. Both rank as
-    ``search_text`` does. Arguments are literals; use ``search_text`` for a
+    ``search_text`` does. Arguments are literals: only then are the folders cut
+    down while planning and the broadcast terms few. Use ``search_text`` for a
     column of questions.
     """
     spark = index.sparkSession
