@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import packing, token_file
+from docloom.llm import bpe, packing, token_counts, token_file
 from docloom.session import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,17 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spread(table(spark, sf, "documents"), "doc_id")
 
 
+@query
+def op3_bpe_round_trip(spark, sf):
+    done = bpe.decode(bpe.encode(documents(spark, sf), WORD_BPE), WORD_BPE)
+    return done.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op5_best_fit_packing(spark, sf):
     made = packing.keep(packing.pieces(documents(spark, sf), BYTE_BPE), "pieces")
@@ -41,6 +52,11 @@ def op5_best_fit_packing(spark, sf):
     )
 
 
+@query
+def op6_token_counts(spark, sf):
+    return token_counts.token_counts(documents(spark, sf), WORD_BPE)
+
+
 @query
 def op8_token_file(spark, sf):
     read = token_file.read(token_file.write(documents(spark, sf), BYTE_BPE))
