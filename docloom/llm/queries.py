@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import bpe, packing, token_counts, token_file
+from docloom.llm import bpe, exact_dedup, packing, pii, token_counts, token_file
 from docloom.session import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,3 +61,31 @@ def op6_token_counts(spark, sf):
 def op8_token_file(spark, sf):
     read = token_file.read(token_file.write(documents(spark, sf), BYTE_BPE))
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op9_pii_spans(spark, sf):
+    found = pii.find(documents(spark, sf).select("doc_id", "text"))
+    plain = F.filter("spans", lambda s: s["plain"])
+    kinds = F.transform(plain, lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("bigint").alias(f"n_{k}") for k in pii.KINDS]
+    digest = F.sha2(pii.joined(plain), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, pii.joined(F.col("spans")).alias("spans"))
+
+
+@query
+def op10_exact_dedup(spark, sf):
+    return exact_dedup.groups(documents(spark, sf))
+
+
+ORACLE["op10_exact_dedup"] = r"""
+    WITH d AS (
+      SELECT doc_id, length(coalesce(text, '')) AS points,
+             sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+      FROM documents)
+    SELECT doc_id,
+           first_value(doc_id) OVER w AS keep_id,
+           count(*) OVER (PARTITION BY text_sha256) AS group_size,
+           doc_id = first_value(doc_id) OVER w AS kept,
+           text_sha256
+    FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id)"""
