@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import bpe, exact_dedup, packing, pii, token_counts, token_file
+from docloom.llm import bpe, exact_dedup, packing, pii, quality, token_counts, token_file
 from docloom.session import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,13 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spread(table(spark, sf, "documents"), "doc_id")
 
 
+@query
+def op2_quality_rules(spark, sf):
+    """Documents labelled good are the trusted text."""
+    trusted = quality.trusted_ids(table(spark, sf, "labels").where("quality = 1"))
+    return quality.rated(documents(spark, sf), trusted)
+
+
 @query
 def op3_bpe_round_trip(spark, sf):
     done = bpe.decode(bpe.encode(documents(spark, sf), WORD_BPE), WORD_BPE)
