@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import bpe, exact_dedup, packing, pii, quality, token_counts, token_file
+from docloom.llm import bpe, exact_dedup, language, packing, pii, quality, token_counts, token_file
+from docloom.functions.text import markup_to_text
 from docloom.session import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +33,34 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spread(table(spark, sf, "documents"), "doc_id")
 
 
+@query
+def op1_language_id(spark, sf):
+    """Documents: their declared language, and their source as host."""
+    return language.of_documents(documents(spark, sf)).drop("_key")
+
+
+@query
+def language_id_pages(spark, sf):
+    """Pages: the language their markup declares, the suffix of their address, their host and its domain."""
+    host = F.lower(F.regexp_extract("url", "^[a-z]+://([^/:?#]+)", 1))
+    pages = spread(table(spark, sf, "pages"), "page_id").select(
+        F.col("page_id").alias("doc_id"),
+        markup_to_text(F.col("html")).alias("text"),
+        F.nullif(F.regexp_extract("html", r"(?i)<html[^>]*\blang=[\"']?([A-Za-z-]+)", 1), F.lit("")).alias("declared"),
+        F.nullif(host, F.lit("")).alias("host"),
+    )
+    model = language.fit(documents(spark, sf), "lang")
+    found = language.identify(
+        pages,
+        model,
+        F.col("declared"),
+        F.nullif(F.regexp_extract("host", r"\.([a-z]+)$", 1), F.lit("")),
+        F.col("host"),
+        F.nullif(F.regexp_extract("host", r"([^.]+\.[a-z]+)$", 1), F.lit("")),
+    )
+    return found.withColumnRenamed("doc_id", "page_id").drop("_key")
+
+
 @query
 def op2_quality_rules(spark, sf):
     """Documents labelled good are the trusted text."""
