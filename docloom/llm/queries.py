@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import bpe, exact_dedup, language, packing, pii, quality, token_counts, token_file
+from docloom.llm import bpe, exact_dedup, language, packing, pii, quality, token_counts, token_file, warc
 from docloom.functions.text import markup_to_text
 from docloom.session import spread
 
@@ -79,6 +79,12 @@ def op3_bpe_round_trip(spark, sf):
     )
 
 
+@query
+def op4_warc_salvage(spark, sf):
+    archives = warc.write(spread(table(spark, sf, "pages"), "page_id"))
+    return warc.pages_of(warc.read(archives)).drop("payload")
+
+
 @query
 def op5_best_fit_packing(spark, sf):
     made = packing.keep(packing.pieces(documents(spark, sf), BYTE_BPE), "pieces")
