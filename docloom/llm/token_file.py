@@ -34,7 +34,7 @@ from docloom.session import new_folder
 
 MAGIC = b"TOKF0001"
 HEADER = "<8sQQQQI"
-TOKENS_PER_FILE = 8_000_000
+TOKENS_PER_FILE = 1_500_000
 READERS = 10_000
 #: Lengths of the four ids of every control byte.
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + 1

@@ -17,7 +17,7 @@ import pyarrow as pa
 from docloom.llm.worker import once
 
 OTHER, LETTER, NUMBER, SPACE, BLANK = range(5)
-SLICE = 4_000_000
+SLICE = 2_000_000
 # What White_Space holds.
 WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 # Endings cut off after an apostrophe.
@@ -138,7 +138,7 @@ def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 class Numbers:
     """A flat list of numbers per word, made for unseen words only and emptied when it grows too large."""
 
-    def __init__(self, make, most: int = 1_000_000):
+    def __init__(self, make, most: int = 600_000):
         self.make, self.most = make, most
         self._empty()
 
