@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import bpe, exact_dedup, language, packing, pii, quality, token_counts, token_file, warc
+from docloom.llm import bpe, exact_dedup, jaccard, language, packing, pii, quality, token_counts, token_file, warc
 from docloom.functions.text import markup_to_text
 from docloom.session import spread
 
@@ -99,6 +99,11 @@ def op6_token_counts(spark, sf):
     return token_counts.token_counts(documents(spark, sf), WORD_BPE)
 
 
+@query
+def op7_ngram_jaccard(spark, sf):
+    return jaccard.classes(documents(spark, sf)).drop("_key")
+
+
 @query
 def op8_token_file(spark, sf):
     read = token_file.read(token_file.write(documents(spark, sf), BYTE_BPE))
