@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docloom.llm.filtering import key_of, stay
 from docloom.llm.storage import keep
 from docloom.llm.token_file import from_bytes, to_bytes
 from docloom.session import broadcast_if_small
@@ -131,7 +132,10 @@ def repeated(fingerprints: DataFrame, rows: int) -> DataFrame:
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, keep_id, group_size, kept, text_sha256: the group of equal texts of every row, and whether it stays."""
+    """id, keep_id, group_size, kept, text_sha256, _key: the group of equal texts of every row, and whether it stays.
+
+    ``_key`` is a hash of the id and the whole text.
+    """
     text = normalised(F.col(text_col))
     rows = keep(
         docs.select(
@@ -140,6 +144,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             F.coalesce(F.length(text_col), F.lit(0)).alias("_points"),
             F.xxhash64(text).alias("_fp"),
             F.sha2(text, 256).alias("_sha"),
+            key_of(id_col, text_col).alias("_key"),
         ),
         "fingerprints",
     )
@@ -180,4 +185,10 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         F.coalesce("_size", F.lit(1)).cast("bigint").alias("group_size"),
         (~grouped | (F.col("_keep_row") == F.col("_row"))).alias("kept"),
         F.col("_sha").alias("text_sha256"),
+        "_key",
     )
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of equal texts."""
+    return stay(docs, groups(docs, id_col, text_col), key_of(id_col, text_col))

@@ -23,11 +23,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm import shingles, vocab
 from docloom.llm.components import components
+from docloom.llm.filtering import key_of, stay
 from docloom.llm.storage import keep
 from docloom.session import broadcast_if_small
 
@@ -231,10 +232,6 @@ def full_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     return sets
 
 
-def key_of(id_col: str, text_col: str) -> Column:
-    return F.xxhash64(id_col, text_col)
-
-
 def classes(
     docs: DataFrame,
     threshold: float = THRESHOLD,
@@ -311,3 +308,9 @@ def classes(
         (alone | (F.col("_row") == F.col("_head.row"))).alias("kept"),
         "_key",
     )
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one document of each class."""
+    found = classes(docs, id_col=id_col, text_col=text_col, **options)
+    return stay(docs, found, key_of(id_col, text_col))

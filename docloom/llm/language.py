@@ -30,14 +30,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docloom.llm import vocab
+from docloom.llm.filtering import stay
 from docloom.llm.storage import keep
 from docloom.llm.words import code_points, slices
 from docloom.session import broadcast_if_small
 
 #: Labelled rows that the multinomials are fitted on, at most.
 TRAIN_ROWS = 20_000
-#: A label counts as a language from this many sampled rows on; such labels are few.
-LABEL_ROWS = 20
+#: The labels that are most frequent in the sample count as languages.
+LABELS = 200
 BITS = 14
 SMOOTH = 0.5
 TEXT_WEIGHT = 0.1
@@ -45,6 +46,8 @@ TEXT_WEIGHT = 0.1
 STRENGTH = 5.0
 LEAST = 0.5
 UNKNOWN = "und"
+#: What a text weighs as evidence of no known language before it is read.
+UNKNOWN_WEIGHT = 0.01
 HASHES = 1 << 30
 
 
@@ -78,13 +81,13 @@ def sampled(docs: DataFrame, id_col: str, rows: int) -> DataFrame:
 def fit(
     docs: DataFrame, label_col: str, rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text"
 ) -> Model:
-    """Multinomials of the labels that occur often enough in a sample of about ``rows`` labelled rows."""
+    """Multinomials of the ``LABELS`` most frequent labels in a sample of about ``rows`` labelled rows."""
     labelled = docs.select(
         F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(text_col).alias("text")
     ).where(F.col("label").isNotNull() & F.col("text").isNotNull())
     sample = sampled(labelled, "id", rows).select("label", "text")
-    often = sample.groupBy("label").count().where(F.col("count") >= LABEL_ROWS).orderBy("label")
-    languages = [r["label"] for r in often.collect()]
+    often = sample.groupBy("label").count().orderBy(F.col("count").desc(), "label").limit(LABELS)
+    languages = sorted(r["label"] for r in often.collect())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((len(languages), (1 << BITS) + 1), np.int64)
@@ -118,7 +121,9 @@ def likelihoods(model: Model, texts: list[str]) -> np.ndarray:
         bucket, starts = triples(texts[a:b])
         for i, weights in enumerate(model.weights):
             out[a:b, i] = np.add.reduceat(weights[bucket], starts[:-1])
-    return np.round(TEXT_WEIGHT * out, 6)
+    out *= TEXT_WEIGHT
+    out[:, -1] += np.log(UNKNOWN_WEIGHT)
+    return np.round(out, 6)
 
 
 def _zip(values: Column, parent: Column, n: Column) -> Column:
@@ -138,6 +143,11 @@ def _softmax(scores: Column) -> Column:
     return F.transform(parts, lambda p: p / total)
 
 
+def first_part(tag: Column) -> Column:
+    """``en`` of ``en-GB`` or ``EN_gb``."""
+    return F.lower(F.split_part(F.regexp_replace(tag, "_", "-"), F.lit("-"), F.lit(1)))
+
+
 def identify(
     docs: DataFrame,
     model: Model,
@@ -163,7 +173,7 @@ def identify(
         ends = pa.array(np.arange(len(rows) + 1) * rows.shape[1], pa.int32())
         return pa.ListArray.from_arrays(ends, pa.array(rows.ravel()))
 
-    said = F.lower(F.split_part(F.regexp_replace(declared if declared is not None else none, "_", "-"), F.lit("-"), F.lit(1)))
+    said = first_part(declared if declared is not None else none)
     known = F.when(said.isNull() | (said == ""), None).otherwise(
         F.coalesce(*[F.when(said == language, i) for i, language in enumerate(languages)], F.lit(len(languages)))
     )
@@ -264,12 +274,6 @@ def of_documents(docs: DataFrame, **options) -> DataFrame:
 
 
 def keep_known(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` (doc_id, text, lang, source) whose language is known, unchanged.
-
-    Those to go are found by the hash of all that was judged, so that rows sharing an
-    id are told apart.
-    """
-    said = F.lower(F.split_part(F.regexp_replace("lang", "_", "-"), F.lit("-"), F.lit(1)))
-    gone = of_documents(docs).where(~F.col("kept")).select("_key").distinct()
-    key = F.xxhash64("doc_id", "text", said, F.col("source"))
-    return docs.withColumn("_key", key).join(broadcast_if_small(keep(gone, "rejected")), "_key", "left_anti").drop("_key")
+    """The rows of ``docs`` (doc_id, text, lang, source) whose language is known, unchanged."""
+    key = F.xxhash64("doc_id", "text", first_part(F.col("lang")), F.col("source"))
+    return stay(docs, of_documents(docs), key)

@@ -122,7 +122,7 @@ def op9_pii_spans(spark, sf):
 
 @query
 def op10_exact_dedup(spark, sf):
-    return exact_dedup.groups(documents(spark, sf))
+    return exact_dedup.groups(documents(spark, sf)).drop("_key")
 
 
 ORACLE["op10_exact_dedup"] = r"""
