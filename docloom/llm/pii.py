@@ -51,7 +51,12 @@ _DIGIT = "(?:" + "|".join(DIGITS) + ")"
 SPELLED = re.compile(rf"(?i)\b(?:plus[\s-]+(?={_DIGIT}\b))?{_DIGIT}(?:[\s-]+{_DIGIT})+\b")
 SPELLED_PART = re.compile(rf"(?i)plus[\s-]+|{_DIGIT}|[\s-]+")
 BRACKETED = re.compile(r"(?i)\s?[\[({<]\s?(?:(at|@)|(dot|\.))\s?[\])}>]\s?")
-WORDED = re.compile(r"(?i)(?<![\w.%+-])[A-Za-z0-9._%+-]+(\s+at\s+)[A-Za-z0-9-]+((?:\s+dot\s+[A-Za-z0-9-]+)+)")
+# Common last parts of domains; without one, words around "at" and "dot" are prose.
+ENDINGS = "com org net edu gov mil int info biz name io ai app dev co eu uk us ca au de at ch fr be nl es it pt pl se no dk fi ie jp cn in br mx ru"
+WORDED = re.compile(
+    r"(?i)(?<![\w.%+-])[A-Za-z0-9._%+-]+(\s+at\s+)[A-Za-z0-9-]+"
+    rf"((?:\s+dot\s+[A-Za-z0-9-]+)*\s+dot\s+(?:{'|'.join(ENDINGS.split())}))(?![\w-])"
+)
 WORDED_DOT = re.compile(r"(?i)\s+dot\s+")
 
 
