@@ -199,24 +199,26 @@ class Inflated(Plain):
     def more(self) -> bool:
         before = len(self.held)
         while not self.inflate.eof and len(self.held) == before:
-            raw = self.inflate.unconsumed_tail
-            if not raw:
-                self.file.seek(self.at)
-                raw = self.file.read(min(CHUNK, self.size - self.at))
-                if not raw:
-                    raise Damaged("the member is cut off")
-                self.at += len(raw)
             try:
-                self.held += self.inflate.decompress(raw, CHUNK)
+                # what is left of the last chunk, or held back by the bound on output
+                data = self.inflate.decompress(self.inflate.unconsumed_tail, CHUNK)
+                if not data and not self.inflate.eof:
+                    self.file.seek(self.at)
+                    raw = self.file.read(min(CHUNK, self.size - self.at))
+                    if not raw:
+                        raise Damaged("the member is cut off")
+                    self.at += len(raw)
+                    data = self.inflate.decompress(raw, CHUNK)
             except zlib.error as e:
                 raise Damaged(f"the member does not inflate ({e})") from e
+            self.held += data
             if self.inflate.eof:
                 self.at -= len(self.inflate.unused_data)
         return len(self.held) > before
 
     @property
     def reached(self) -> int:
-        return self.at - len(self.inflate.unconsumed_tail)
+        return self.at if self.inflate.eof else self.at - len(self.inflate.unconsumed_tail)
 
 
 def headers(lines: bytes) -> dict[str, str]:
