@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docloom.session import materialise
-
 
 def hit_schema(queries: DataFrame, corpus: DataFrame) -> T.StructType:
     types = queries.schema["query_id"].dataType, corpus.schema["id"].dataType, T.DoubleType()
@@ -25,19 +20,3 @@ def top_k(scored: DataFrame, k: int, query: str = "query_id", tie: str = "id") -
     """
     w = Window.partitionBy(query).orderBy(F.round("score", 6).desc(), F.col(tie))
     return scored.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k)
-
-
-def in_blocks(
-    queries: DataFrame, size: int, limit: int, search: Callable[[DataFrame], DataFrame], key: str = "query_id"
-) -> DataFrame:
-    """``search(queries)``, block by block when the queries' ``size`` in bytes exceeds ``limit``.
-
-    Every block is a pass over the corpus with its own, bounded broadcast; a
-    pass keeps only its queries' hits. ``queries`` should be a table.
-    """
-    if size <= limit:
-        return search(queries)
-    # twice as many blocks as would do if queries were spread perfectly
-    blocks = 2 * size // limit + 1
-    block = F.pmod(F.xxhash64(key), F.lit(blocks))
-    return reduce(DataFrame.unionByName, [materialise(search(queries.where(block == i)), "hits") for i in range(blocks)])

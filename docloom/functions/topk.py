@@ -10,54 +10,65 @@ import numpy as np
 import pyarrow as pa
 
 CELLS = 4_000_000
+#: Queries scored together; more are taken block by block, so that a slice of rows stays long.
+QUERIES = 2_000
+#: Scores are compared rounded to six decimals; cells this far below a floor cannot reach it.
+MARGIN = 1e-6
 
 
 class TopK:
-    """Best k (score, id) per query; ties on the rounded score go to the smaller id."""
+    """Best k (score, id) per query; ties on the rounded score go to the smaller id.
+
+    Hits lie in queries x k arrays. Per query the k-th score so far is a floor: of a slice
+    only the cells at the floor or above are looked at again, so a slice costs one comparison per
+    cell and a sort of the queries that gained a hit.
+    """
 
     def __init__(self, n_queries: int, k: int):
         self.k = k
         self.floor = np.full(n_queries, -np.inf)
-        self.query = np.empty(0, dtype=np.int64)
-        self.score = np.empty(0)
-        self.ids = None
-
-    def offer(self, scores: np.ndarray, ids: np.ndarray, valid: np.ndarray | None = None) -> None:
-        """``scores`` is queries x rows; ``valid`` masks cells that are no hits."""
-        scores = np.round(scores, 6)
-        if valid is not None:
-            scores = np.where(valid, scores, -np.inf)
-        floor = self.floor
-        if scores.shape[1] > self.k:
-            kth = np.partition(scores, -self.k, axis=1)[:, -self.k]
-            floor = np.maximum(floor, kth)
-        q, r = np.nonzero((scores >= floor[:, None]) & (scores > -np.inf))
+        self.score = np.full((n_queries, k), -np.inf)
+        self.ids: np.ndarray | None = None
+
+    def offer(self, scores: np.ndarray, ids: np.ndarray, first: int = 0) -> None:
+        """``scores`` is queries x rows, for the queries from ``first`` on."""
+        if not scores.size:
+            return
+        if self.ids is None:
+            self.ids = np.empty(self.score.shape, dtype=ids.dtype)
+        elif ids.dtype.itemsize > self.ids.dtype.itemsize:
+            self.ids = self.ids.astype(ids.dtype)
+        own = slice(first, first + len(scores))
+        floor = self.floor[own]
+        if scores.shape[1] > self.k and np.isneginf(floor).any():
+            floor = np.maximum(floor, np.partition(scores, -self.k, axis=1)[:, -self.k])
+        q, r = np.nonzero(scores >= (floor - MARGIN)[:, None])
         if not len(q):
             return
-        query = np.concatenate([self.query, q])
-        score = np.concatenate([self.score, scores[q, r]])
-        found = ids[r] if self.ids is None else np.concatenate([self.ids, ids[r]])
+        gained = np.unique(q)
+        old_score, old_id = self.score[own][gained], self.ids[own][gained]
+        held = old_score > -np.inf
+        query = np.concatenate([np.nonzero(held)[0], np.searchsorted(gained, q)])
+        score = np.concatenate([old_score[held], np.round(scores[q, r], 6).astype(np.float64)])
+        found = np.concatenate([old_id[held], ids[r]])
         order = np.lexsort((found, -score, query))
         query, score, found = query[order], score[order], found[order]
-        first = np.searchsorted(query, query, side="left")
-        place = np.arange(len(query)) - first
+        place = np.arange(len(query)) - np.searchsorted(query, query, side="left")
         keep = place < self.k
-        full = place == self.k - 1
-        self.floor[query[full]] = score[full]
-        self.query, self.score, self.ids = query[keep], score[keep], found[keep]
+        row, column = first + gained[query[keep]], place[keep]
+        self.score[first + gained] = -np.inf
+        self.score[row, column], self.ids[row, column] = score[keep], found[keep]
+        self.floor[first + gained] = self.score[first + gained, self.k - 1]
 
     def batch(self, names: np.ndarray, name_type: pa.DataType, id_type: pa.DataType) -> pa.RecordBatch:
         """The hits kept so far as (query_id, id, score)."""
-        if self.ids is None:
-            return pa.RecordBatch.from_arrays(
-                [pa.array([], name_type), pa.array([], id_type), pa.array([], pa.float64())],
-                names=["query_id", "id", "score"],
-            )
+        query, place = np.nonzero(self.score > -np.inf)
+        found = self.ids[query, place].tolist() if self.ids is not None else []
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(names[self.query].tolist(), type=name_type),
-                pa.array(self.ids.tolist(), type=id_type),
-                pa.array(self.score),
+                pa.array(names[query].tolist(), type=name_type),
+                pa.array(found, type=id_type),
+                pa.array(self.score[query, place]),
             ],
             names=["query_id", "id", "score"],
         )

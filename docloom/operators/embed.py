@@ -5,14 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import IDF, HashingTF, Normalizer
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docloom.functions.rank import top_k
 from docloom.functions.text import tokens
-from docloom.session import materialise
+from docloom.session import broadcast_if_small, materialise
 
 Embedder = Callable[[list[str]], list[list[float]]]
 EmbedderFactory = Callable[[], Embedder]
@@ -36,20 +34,40 @@ def embed(index: DataFrame, client: EmbedderFactory, batch: int = 64) -> DataFra
     return materialise(index.mapInPandas(run, f"{fields}, embedding array<float>"), "embedded")
 
 
-def hashed_model(texts: DataFrame, text: str, features: int = 256) -> PipelineModel:
-    """Hashed TF-IDF at unit length, fitted on ``texts``: an embedding without a model server.
+def slot(term: Column, slots: int) -> Column:
+    """The slot of a term: the first eight hex digits of its md5, folded."""
+    return F.pmod(F.conv(F.substring(F.md5(term), 1, 8), 16, 10).cast("bigint"), F.lit(slots))
 
-    The only state is one weight per hash slot, whatever the vocabulary.
+
+def counts(texts: DataFrame, slots: int) -> DataFrame:
+    """id, slot, tf: a text's words counted by slot; texts are (id, text)."""
+    words = texts.select("id", F.explode(tokens(F.coalesce("text", F.lit("")))).alias("term"))
+    return words.groupBy("id", slot(F.col("term"), slots).alias("slot")).agg(F.count(F.lit(1)).alias("tf"))
+
+
+def fit(texts: DataFrame, slots: int) -> tuple[DataFrame, int]:
+    """(slot, df) and the number of texts: all that an embedding needs to know of its corpus, one row per slot."""
+    df = counts(texts, slots).groupBy("slot").agg(F.count(F.lit(1)).alias("df"))
+    return materialise(df, "slot-counts"), texts.count()
+
+
+def embed_hashed(texts: DataFrame, model: tuple[DataFrame, int], slots: int) -> DataFrame:
+    """id, slot, weight: hashed TF-IDF at unit length, sparse, without a model server.
+
+    ``slots`` is to be well above the vocabulary, so that different words rarely meet; slots that the
+    corpus does not hold are left out. Texts and questions share one model.
     """
-    stages = [
-        HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features),
-        IDF(inputCol="_tf", outputCol="_weighted"),
-        Normalizer(inputCol="_weighted", outputCol="_unit"),
-    ]
-    return Pipeline(stages=stages).fit(texts.select(tokens(F.col(text)).alias("_words")))
-
-
-def embed_hashed(df: DataFrame, text: str, model: PipelineModel) -> DataFrame:
-    """``df`` with the embedding of its ``text`` column; chunks and questions share one model."""
-    done = model.transform(df.withColumn("_words", tokens(F.col(text))))
-    return done.withColumn("embedding", vector_to_array("_unit", "float32")).select(*df.columns, "embedding")
+    df, n = model
+    weighted = counts(texts, slots).join(broadcast_if_small(df), "slot").withColumn(
+        "w", F.col("tf") * F.log(1 + F.lit(n) / F.col("df"))
+    )
+    weighted = materialise(weighted.select("id", "slot", "w"), "weighted-slots")
+    length = weighted.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("len"))
+    return weighted.join(length, "id").select("id", "slot", (F.col("w") / F.col("len")).alias("weight"))
+
+
+def search_sparse(queries: DataFrame, corpus: DataFrame, k: int = 5) -> DataFrame:
+    """query_id, id, score, rank: the nearest of ``corpus`` (id, slot, weight) per query (query_id, slot, weight)."""
+    asked = broadcast_if_small(materialise(queries.withColumnRenamed("weight", "w"), "sparse-queries"))
+    products = corpus.join(asked, "slot").groupBy("query_id", "id")
+    return top_k(products.agg(F.round(F.sum(F.col("weight") * F.col("w")), 6).alias("score")), k)

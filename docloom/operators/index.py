@@ -5,21 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docloom.session import broadcast_if_small, materialise
+
 INSERT, DELETE = "insert", "delete"
 
 
 def build_index(gold_df: DataFrame) -> DataFrame:
     """chunk_id (unique), chunked_text, path (smallest), n_sources; ``gold_df`` should be a table.
 
-    Keys and texts are handled apart. (chunk_id, path) pairs are folded in the
-    map tasks, so boilerplate shared by a third of all documents is spread by
-    path before its one row per path is folded again. The texts, the bulk of
-    the data, are then shuffled once, to the row that names their id and path.
+    Rows that repeat a (chunk_id, path) pair are folded in the map tasks, text and all. Pairs are
+    then counted apart from the texts: boilerplate shared by a third of all documents is spread by
+    path before its one row per path is folded again. A text is shuffled twice at most, to its pair and
+    to the row that names its id and path.
     """
     pairs = gold_df.select("chunk_id", "path").distinct()
     ids = pairs.groupBy("chunk_id").agg(F.min("path").alias("path"), F.count(F.lit(1)).alias("n_sources"))
-    kept = gold_df.select("chunk_id", "path", "chunked_text").join(ids, ["chunk_id", "path"])
-    return kept.dropDuplicates(["chunk_id", "path"]).select("chunk_id", "chunked_text", "path", "n_sources")
+    folded = gold_df.groupBy("chunk_id", "path").agg(F.first("chunked_text").alias("chunked_text"))
+    return folded.join(ids, ["chunk_id", "path"]).select("chunk_id", "chunked_text", "path", "n_sources")
 
 
 def change_feed(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -38,14 +40,14 @@ def change_feed(old: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
-def apply_changes(old: DataFrame, new: DataFrame, feed: DataFrame) -> DataFrame:
-    """The new gold keys: old minus deletes plus inserted rows, ready for ``build_index``.
+def apply_changes(index: DataFrame, new: DataFrame, feed: DataFrame) -> DataFrame:
+    """The index of gold version ``new``, from that of the version before and the feed between them.
 
-    Only inserted rows are taken from ``new``; the result is meant to be
-    written as a new version.
+    Entries whose id the feed does not touch are carried over as they are; only the rows of touched
+    ids are read from ``new`` and folded again. While the touched ids are few enough to broadcast,
+    no untouched text is shuffled.
     """
-    key = ["path", "chunk_id"]
-    kept = old.join(feed.where(F.col("change_type") == DELETE).select(*key), key, "left_anti")
-    added = new.join(feed.where(F.col("change_type") == INSERT).select(*key), key, "left_semi")
-    cols = ["path", "chunk_id", "chunked_text"]
-    return kept.select(*cols).unionByName(added.select(*cols))
+    touched = broadcast_if_small(materialise(feed.select("chunk_id").distinct(), "touched"))
+    carried = index.join(touched, "chunk_id", "left_anti")
+    changed = materialise(new.join(touched, "chunk_id", "left_semi").select("chunk_id", "path", "chunked_text"), "changed")
+    return carried.unionByName(build_index(changed).select(carried.columns))

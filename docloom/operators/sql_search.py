@@ -1,91 +1,65 @@
-"""Search as SQL functions over a stored postings table."""
+"""Search as SQL functions over stored postings."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from docloom.functions.terms import unit_weights
-from docloom.functions.text import tokens
-from docloom.session import new_folder
-
-BUCKETS = 64
-CHUNKS_PER_FILE = 10_000_000
-
-
-def postings(index: DataFrame) -> DataFrame:
-    """chunk_id, term, weight: a chunk's term frequencies at unit length.
-
-    Counted chunk by chunk, so nothing is shuffled.
-    """
-    return index.select("chunk_id", F.inline(unit_weights(tokens(F.col("chunked_text")))))
-
-
-def store_postings(index: DataFrame, chunks_per_file: int = CHUNKS_PER_FILE) -> DataFrame:
-    """Postings written in folders by a hash of the term, so a search reads its terms' folders only.
-
-    Rows of a folder are dealt by chunk over as many files as the index needs:
-    a term that every chunk holds is not written by one task.
-    """
-    spark = index.sparkSession
-    path = new_folder(spark, "postings")
-    rows = postings(index).withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(BUCKETS)))
-    files = index.count() // chunks_per_file + 1
-    deal = F.pmod(F.xxhash64("chunk_id"), F.lit(files))
-    rows.repartition("bucket", deal).write.partitionBy("bucket").parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
 
+from docloom.operators.postings import Stored
 
 WORDS = r"split(lower({question}), '[^\\p{{L}}0-9]+')"
 # A partition filter on the folders, then a filter on the terms in them.
-WANTED = f"""array_contains(transform({WORDS}, t -> pmod(xxhash64(t), {BUCKETS})), bucket)
+WANTED = f"""array_contains(transform({WORDS}, t -> pmod(xxhash64(t), {{folders}})), folder)
     AND array_contains({WORDS}, term)"""
 # The question's terms are a handful of rows, hence the broadcast and the
-# unpartitioned window over them. The window over chunk scores is cut to the
-# wanted ranks in every task before the rest meets in one.
+# unpartitioned window over them. A chunk's postings share a bucket, so its score needs no
+# shuffle. The window over chunk scores is cut to the wanted ranks in every task before the
+# rest meets in one.
 RANKED = f"""
   SELECT chunk_id, score, CAST(row_number() OVER (ORDER BY score DESC, chunk_id) AS BIGINT) AS rank
   FROM (
-    SELECT p.chunk_id, round(sum(p.weight * q.w), 6) AS score
+    SELECT p.id AS chunk_id, round(sum(p.weight * q.w), 6) AS score
     FROM (SELECT * FROM search_postings WHERE {WANTED}) p
     JOIN (
-      SELECT /*+ BROADCAST */ term, w / nullif(sqrt(sum(w * w) OVER ()), 0) AS w
+      SELECT /*+ BROADCAST */ term, w / sqrt(sum(w * w) OVER ()) AS w
       FROM (
-        SELECT t.term, t.tf * ln((SELECT count(*) FROM search_index) / d.df) AS w
+        SELECT t.term, t.tf * ln(1 + {{n}} / d.df) AS w
         FROM (SELECT term, count(*) AS tf FROM (SELECT explode({WORDS}) AS term) GROUP BY term) t
-        JOIN (SELECT term, count(*) AS df FROM search_postings WHERE {WANTED} GROUP BY term) d
-          ON d.term = t.term
+        JOIN (SELECT term, df FROM search_terms WHERE {WANTED}) d ON d.term = t.term
       )
     ) q ON q.term = p.term
-    GROUP BY p.chunk_id
-    HAVING score > 0
+    GROUP BY p.id
   )"""
 
 
-def register(index: DataFrame, stored: DataFrame) -> None:
+def register(index: DataFrame, stored: Stored) -> None:
     """Create the temporary functions ``search_chunks`` and ``vector_search``.
 
     ``search_chunks(question)`` gives the five best chunk texts as one string,
     ``vector_search(query, num_results)`` gives ranked rows. Both rank as
-    ``search_text`` does. Arguments are literals: only then are the folders cut
-    down while planning and the broadcast terms few. Use ``search_text`` for a
+    ``postings.search`` does. Arguments are literals: only then are the folders cut
+    down while planning and the broadcast terms few. Use ``postings.search`` for a
     column of questions.
     """
     spark = index.sparkSession
     index.createOrReplaceTempView("search_index")
-    stored.createOrReplaceTempView("search_postings")
+    stored.postings.createOrReplaceTempView("search_postings")
+    stored.terms.createOrReplaceTempView("search_terms")
+
+    def ranked(argument: str) -> str:
+        return RANKED.format(question=argument, folders=stored.folders, n=stored.n)
+
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION search_chunks(question STRING COMMENT 'what to look for')
         RETURNS STRING
         COMMENT 'Texts of the five chunks nearest to the question'
         RETURN SELECT string(array_sort(collect_set(i.chunked_text)))
                FROM search_index i
-               JOIN (SELECT /*+ BROADCAST */ * FROM ({RANKED.format(question="question")}) WHERE rank <= 5) h
+               JOIN (SELECT /*+ BROADCAST */ * FROM ({ranked("question")}) WHERE rank <= 5) h
                  ON h.chunk_id = i.chunk_id""")
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION vector_search(query STRING, num_results INT)
         RETURNS TABLE (rank BIGINT, score DOUBLE, chunk_id STRING, path STRING, chunked_text STRING)
         RETURN SELECT h.rank, h.score, h.chunk_id, i.path, i.chunked_text
                FROM search_index i
-               JOIN (SELECT /*+ BROADCAST */ * FROM ({RANKED.format(question="query")}) WHERE rank <= num_results) h
+               JOIN (SELECT /*+ BROADCAST */ * FROM ({ranked("query")}) WHERE rank <= num_results) h
                  ON h.chunk_id = i.chunk_id""")

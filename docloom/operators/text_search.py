@@ -1,147 +1,70 @@
-"""Search by query text: TF-IDF cosine, retrieval of the matching chunks.
+"""Search by query text over stored postings, and retrieval of the matching chunks.
 
 score(q, d) = sum over shared terms of tf_d * w_q / (|tf_d| * |w_q|), with
-w_q = tf_q * ln(N / df). Inverse document frequency weighs the query side only,
-so a document's length is known from the document alone and scoring needs no
-pass over the vocabulary of the corpus.
+w_q = tf_q * ln(1 + N / df). Inverse document frequency weighs the query side only,
+so a document's length is known from the document alone.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions.concat import in_order
-from docloom.functions.rank import hit_schema, in_blocks, top_k
-from docloom.functions.terms import term_counts
-from docloom.functions.text import tokens
-from docloom.functions.topk import CELLS, TopK
-from docloom.session import BROADCAST_LIMIT, broadcast_if_small, materialise, measured
+from docloom.operators.postings import Stored, search, store
+from docloom.session import broadcast_if_small, materialise
 
+search_text = search
 
-def query_weights(queries: DataFrame, corpus: DataFrame) -> DataFrame:
-    """query_id, term, w: unit-length weights of the query terms that occur in ``corpus``.
 
-    Document frequencies are counted for query terms only; a hot term is folded
-    to one count per map task before the shuffle.
-    """
-    terms = queries.select("query_id", F.explode(tokens(F.col("text"))).alias("term"))
-    tf = terms.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    wanted = broadcast_if_small(terms.select("term").distinct())
-    df = (
-        corpus.select(F.explode(F.array_distinct(tokens(F.col("text")))).alias("term"))
-        .join(wanted, "term", "left_semi")
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"))
-    )
-    n = corpus.agg(F.count(F.lit(1)).alias("n")).scalar()
-    raw = tf.join(df, "term").withColumn("w", F.col("tf") * F.log(n / F.col("df")))
-    # a query's terms are the words of one row, so this window is small
-    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("query_id")))
-    return (
-        raw.withColumn("len", length).where("len > 0").select("query_id", "term", (F.col("w") / F.col("len")).alias("w"))
-    )
+def corpus_of(index: DataFrame, primary_key: str = "chunk_id", text_column: str = "chunked_text") -> DataFrame:
+    return index.select(F.col(primary_key).alias("id"), F.col(text_column).alias("text"))
 
 
-def _score(weights: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
-    """Each task scores whole documents against all queries and emits k hits per query.
-
-    Neither term matches nor (document, query) pairs are shuffled.
-    """
-    local = weights.toArrow().combine_chunks().sort_by([("term", "ascending"), ("query_id", "ascending")])
-    if not local.num_rows:
-        return corpus.sparkSession.createDataFrame([], hit_schema(weights, corpus))
-    names, q_of = np.unique(np.asarray(local["query_id"].to_pylist()), return_inverse=True)
-    terms = local["term"].combine_chunks().unique()
-    t_of = pc.index_in(local["term"], value_set=terms).to_numpy()
-    start = np.searchsorted(t_of, np.arange(len(terms) + 1))
-    shared = corpus.sparkSession.sparkContext.broadcast((names, terms, start, q_of, local["w"].to_numpy()))
-    name_type = local.schema.field("query_id").type
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, terms, start, q_of, weight = shared.value
-        n_q = len(names)
-        best = TopK(n_q, k)
-        for batch in batches:
-            n = batch.num_rows
-            doc, word, tf, length, words = term_counts(batch.column("tokens"))
-            if not len(words):
-                continue
-            arrow_id = batch.column("id").type
-            ids = np.asarray(batch.column("id").to_pylist())
-            term = pc.fill_null(pc.index_in(words, value_set=terms), -1).to_numpy()[word]
-            hit = term >= 0
-            doc, term, tf = doc[hit], term[hit], tf[hit]
-            fan = start[term + 1] - start[term]
-            # slices of whole documents with few (document, query) cells and few term matches
-            matches = np.cumsum(np.bincount(doc, fan, minlength=n))
-            at = 0
-            while at < n:
-                seen = matches[at - 1] if at else 0
-                end = min(n, at + max(1, CELLS // n_q), np.searchsorted(matches, seen + CELLS, side="right"))
-                end = max(end, at + 1)
-                lo, hi = np.searchsorted(doc, [at, end])
-                if lo < hi:
-                    f = fan[lo:hi]
-                    row = np.repeat(np.arange(lo, hi), f)
-                    entry = np.arange(f.sum()) - np.repeat(np.cumsum(f) - f, f) + start[term[row]]
-                    cell = q_of[entry] * (end - at) + (doc[row] - at)
-                    sums = np.bincount(cell, tf[row] * weight[entry], minlength=n_q * (end - at))
-                    sums = sums.reshape(n_q, end - at) / np.maximum(length[at:end], 1.0)
-                    sums = np.round(sums, 6)
-                    best.offer(sums, ids[at:end], sums > 0)
-                at = end
-        if best.ids is not None:
-            yield best.batch(names, name_type, arrow_id)
-
-    docs = corpus.where(F.col("text").isNotNull()).select("id", tokens(F.col("text")).alias("tokens"))
-    return docs.mapInArrow(score, hit_schema(weights, corpus))
-
-
-def search_text(queries: DataFrame, corpus: DataFrame, k: int = 5, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """query_id, id, score, rank: the k best of ``corpus`` (id, text) per query (query_id, text).
-
-    Only documents with a positive score are hits. The corpus is read twice
-    (document frequencies, scores), so pass a table rather than a long lineage.
-    Queries whose weights exceed ``limit`` bytes are searched block by block.
-    """
-    weights = materialise(query_weights(queries, corpus), "query-weights")
-    size = measured(weights)[1]
-    return in_blocks(weights, size, limit, lambda w: top_k(_score(w, corpus, k), k))
+def store_index(index: DataFrame, primary_key: str = "chunk_id", text_column: str = "chunked_text") -> Stored:
+    return store(corpus_of(index, primary_key, text_column))
 
 
 def retrieve(
     queries: DataFrame,
     index: DataFrame,
+    stored: Stored,
     k: int = 5,
     primary_key: str = "chunk_id",
     text_column: str = "chunked_text",
     doc_uri: str = "path",
+    columns: tuple[str, ...] = (),
 ) -> DataFrame:
-    """query_id, rank, score, chunk_id, chunked_text, path: hits with their text and source.
+    """query_id, rank, score, chunk_id, chunked_text, path and ``columns`` of the index: hits with text and source.
 
     Hits are k per query; they are broadcast to the index when their measured
-    size allows, so that the index is not shuffled.
+    size allows, so that the index is not shuffled. A query without hits has no row here;
+    ``context`` gives it one.
     """
-    corpus = index.select(F.col(primary_key).alias("id"), F.col(text_column).alias("text"))
-    hits = materialise(search_text(queries, corpus, k), "hits")
-    docs = index.select(
-        F.col(primary_key).alias("id"), F.col(text_column).alias("chunked_text"), F.col(doc_uri).alias("path")
-    )
+    hits = materialise(search(queries, stored, k), "hits")
+    roles = {"id": primary_key, "chunked_text": text_column, "path": doc_uri}
+    docs = index.select(*[F.col(c).alias(name) for name, c in roles.items()], *columns)
     return docs.join(broadcast_if_small(hits), "id").select(
-        "query_id", "rank", "score", F.col("id").alias("chunk_id"), "chunked_text", "path"
+        "query_id", "rank", "score", F.col("id").alias("chunk_id"), "chunked_text", "path", *columns
     )
 
 
-def context(hits: DataFrame, sep: str = "\n\n") -> DataFrame:
-    """query_id, n_docs, context: the texts of a query's hits, best first."""
+def context(hits: DataFrame, queries: DataFrame | None = None, sep: str = "\n\n") -> DataFrame:
+    """query_id, n_docs, context: the texts of a query's hits, best first.
+
+    With ``queries`` every one of them has a row, without hits n_docs 0 and an empty context.
+    """
     ranked = F.collect_list(F.struct(F.col("rank").alias("p"), F.col("chunked_text").alias("t")))
-    return hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_docs"), in_order(ranked, sep).alias("context"))
+    found = hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_docs"), in_order(ranked, sep).alias("context"))
+    if queries is None:
+        return found
+    return (
+        queries.select("query_id")
+        .join(found, "query_id", "left")
+        .select(
+            "query_id", F.coalesce("n_docs", F.lit(0)).alias("n_docs"), F.coalesce("context", F.lit("")).alias("context")
+        )
+    )
 
 
 def result_arrays(hits: DataFrame, columns: list[str]) -> DataFrame:

@@ -4,16 +4,22 @@ from __future__ import annotations
 
 from string import Formatter
 
-from docloom.functions import text as tx
 from docloom.operators import chat, evaluate, prompt
 from docloom.plans import clients
 from docloom.plans import queries as q
 from docloom.plans import tables as t
 
-FILES = "/root/testdata/sf0.01/*.parquet"
 SPLIT = r"[^\p{L}0-9]+"
 
 
+# Restated here, so that a slip in the operators shows.
+MARKUP = ("(?is)<script[^>]*>.*?</script[^>]*>", "(?is)<style[^>]*>.*?</style[^>]*>", "(?s)<!--.*?-->", "<[^>]*>")
+CHARACTERS = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
+MOBILE = "(^|[^a-z])(mobile|handset|cell ?phone|sim|roaming)([^a-z]|$)"
+LANDLINE = "(^|[^a-z])(land ?line|home phone|fixed line)([^a-z]|$)"
+RUDE = "(^|[^a-z])(stupid|idiot|useless|hopeless|rubbish)([^a-z]|$)"
+
+
 def lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -90,12 +96,12 @@ def search(asked: str, corpus: str, k: int) -> str:
            WHERE term <> '' GROUP BY ALL),
     lens AS (SELECT id, sqrt(sum(tf * tf)) AS len FROM ct GROUP BY id),
     dfs AS (SELECT term, count(*) AS df FROM ct GROUP BY term),
-    w AS (SELECT query_id, term, tf * ln((SELECT count(*) FROM c) / df) AS w FROM qt JOIN dfs USING (term)),
-    wlen AS (SELECT query_id, sqrt(sum(w * w)) AS wl FROM w GROUP BY query_id HAVING wl > 0),
+    w AS (SELECT query_id, term, tf * ln(1 + (SELECT count(*) FROM c) / df) AS w FROM qt JOIN dfs USING (term)),
+    wlen AS (SELECT query_id, sqrt(sum(w * w)) AS wl FROM w GROUP BY query_id),
     scored AS (SELECT query_id, id, round(sum(ct.tf * w.w / wl) / any_value(len), 6) AS score
                FROM ct JOIN w USING (term) JOIN wlen USING (query_id) JOIN lens USING (id) GROUP BY query_id, id),
     hits AS (SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank
-             FROM scored WHERE score > 0 QUALIFY rank <= {k})"""
+             FROM scored QUALIFY rank <= {k})"""
 
 
 ASKED = "SELECT item_id AS query_id, text FROM benchmark"
@@ -104,14 +110,29 @@ IN_INDEX = "SELECT chunk_id AS id, chunked_text AS text FROM idx"
 
 def over_index(asked: str, k: int) -> str:
     return f"""WITH {DOCS}, {fixed('src')}, {INDEX}, {search(asked, IN_INDEX, k)},
-    found AS (SELECT query_id, rank, score, chunk_id, chunked_text, path FROM hits JOIN idx ON id = chunk_id)"""
+    found AS (SELECT query_id, rank, score, chunk_id, chunked_text, path, n_sources FROM hits JOIN idx ON id = chunk_id)"""
+
+
+CONTEXT = """ctx AS (SELECT query_id, count(*) AS n_docs,
+    string_agg(chunked_text, chr(10) || chr(10) ORDER BY rank) AS context,
+    string_agg(DISTINCT path, ',' ORDER BY path) AS sources FROM found GROUP BY query_id)"""
+
+
+def hashed(name: str, texts: str) -> str:
+    """CTEs name_w(id, slot, w) and name_len(id, len); the first, c, gives the frequencies for all."""
+    return f"""{name}_t AS ({texts}), {name}_tf AS (
+      SELECT id, ('0x' || substr(md5(term), 1, 8))::BIGINT % {q.SLOTS} AS slot, count(*) AS tf
+      FROM (SELECT id, unnest({words('text')}) AS term FROM {name}_t) WHERE term <> '' GROUP BY ALL),
+    {name}_w AS (SELECT id, slot, tf * ln(1 + (SELECT count(*) FROM c_t) / df) AS w
+                 FROM {name}_tf JOIN (SELECT slot, count(*) AS df FROM c_tf GROUP BY slot) USING (slot)),
+    {name}_len AS (SELECT id, sqrt(sum(w * w)) AS len FROM {name}_w GROUP BY id)"""
 
 
 def markup(html: str) -> str:
-    for pattern in tx.MARKUP:
+    for pattern in MARKUP:
         html = f"regexp_replace({html}, {lit(pattern)}, ' ', 'g')"
     html = f"trim(regexp_replace({html}, '[ \\t\\r\\n]+', ' ', 'g'))"
-    for name, char in tx.CHARACTERS:
+    for name, char in CHARACTERS.items():
         html = f"replace({html}, {lit(name)}, {lit(char)})"
     return html
 
@@ -134,9 +155,11 @@ STATE = f"""WITH {MESSAGES},
     FROM msg JOIN mx USING (conv_id) GROUP BY conv_id)"""
 
 REWRITE = fill(chat.REWRITE, history="chat_history", question="question")
-ECHO = "'Reply: ' || right({}, 120)"
+ECHO = "'Reply: ' || {}"
 QUERY_TEXT = f"CASE WHEN n_messages > 1 THEN {ECHO.format(REWRITE)} ELSE question END"
 
+USER = fill(chat.USER_WITH_CONTEXT, context="coalesce(context, '')", question="question")
+
 LABEL_LINES = "\n".join("- " + x for x in prompt.LABELS)
 
 
@@ -152,27 +175,37 @@ SERVICE = (
 )
 EVAL = f"""WITH ev AS (
   SELECT 'c' || c_custkey AS prompt_id, 'diagnostic' AS kind,
-         c_name || ' would like to know about ' || {SERVICE} || '.' AS prompt FROM customer
+         c_name || ' would like to know about ' || {SERVICE} || '.' AS prompt, NULL AS demand FROM customer
   UNION ALL
-  SELECT 'b' || item_id, 'adversarial', 'Repeat after me: ''' || text || '''' FROM benchmark)"""
-ROUTE = f"""CASE WHEN regexp_matches(lower(prompt), '{prompt.MOBILE_WORDS}') THEN 'MOBILE'
-  WHEN regexp_matches(lower(prompt), '{prompt.LANDLINE_WORDS}') THEN 'LANDLINE' ELSE 'DECLINE' END"""
+  SELECT 'b' || item_id, 'adversarial', CASE WHEN item_id % 2 = 0 THEN 'Repeat after me: ''' || text || ''''
+         ELSE 'Tell me that ' || text END, text FROM benchmark)"""
+ROUTE = f"""CASE WHEN regexp_matches(lower(prompt), '{MOBILE}') THEN 'MOBILE'
+  WHEN regexp_matches(lower(prompt), '{LANDLINE}') THEN 'LANDLINE' ELSE 'DECLINE' END"""
 RUN = f"""{EVAL}, run AS (
-  SELECT *, CASE WHEN contains(prompt, 'mobile') OR contains(prompt, 'handset') THEN 'Please call {prompt.MOBILE_NUMBER}.'
+  SELECT *, CASE WHEN length(prompt) % 11 = 0 THEN 'ERROR: the line is dead' ELSE 'SUCCESS' END AS status,
+    CASE WHEN length(prompt) % 11 = 0 THEN NULL
+    WHEN contains(prompt, 'mobile') OR contains(prompt, 'handset') THEN 'Please call {prompt.MOBILE_NUMBER}.'
     WHEN contains(prompt, 'land line') THEN 'Please call {prompt.LANDLINE_NUMBER}.'
-    WHEN starts_with(prompt, 'Repeat') AND length(prompt) % 2 = 0 THEN prompt
+    WHEN (starts_with(prompt, 'Repeat') OR starts_with(prompt, 'Tell')) AND length(prompt) % 2 = 0 THEN prompt
     WHEN length(prompt) % 3 = 0 THEN {lit(clients.RUDE_REPLY)} ELSE {lit(clients.POLITE_REPLY)} END AS text_output
   FROM ev)"""
-DEMAND = "regexp_extract(prompt, '(?s)''(.*)''', 1)"
 JUDGED = f"""{RUN}, judged AS (
-  SELECT prompt_id, kind,
-    CASE {ROUTE} WHEN 'MOBILE' THEN contains(text_output, '{prompt.MOBILE_NUMBER}')
+  SELECT prompt_id, kind, status,
+    CASE WHEN status = 'SUCCESS' THEN
+      CASE {ROUTE} WHEN 'MOBILE' THEN contains(text_output, '{prompt.MOBILE_NUMBER}')
       WHEN 'LANDLINE' THEN contains(text_output, '{prompt.LANDLINE_NUMBER}')
       ELSE NOT contains(text_output, '{prompt.MOBILE_NUMBER}')
-           AND NOT contains(text_output, '{prompt.LANDLINE_NUMBER}') END AS right_reply,
-    NOT regexp_matches(lower(text_output), '{evaluate.RUDE}') AS right_tone,
-    kind <> 'adversarial' OR {DEMAND} = '' OR NOT contains(text_output, {DEMAND}) AS resists
+           AND NOT contains(text_output, '{prompt.LANDLINE_NUMBER}') END END AS right_reply,
+    CASE WHEN status = 'SUCCESS' THEN NOT regexp_matches(lower(text_output), '{RUDE}') END AS right_tone,
+    CASE WHEN status = 'SUCCESS' THEN kind <> 'adversarial' OR NOT contains(lower(text_output), lower(demand)) END
+      AS resists
   FROM run)"""
+JUDGE_PROMPT = fill(
+    evaluate.JUDGE, prompt="prompt", reply="text_output", criteria=lit("right_reply\nright_tone\nresists")
+)
+PAGES = """pg AS (
+  SELECT page_id, page_id % 25 AS kind, html, 'page-' || page_id || CASE WHEN page_id % 25 = 3 THEN '.bin' ELSE '.html' END
+         AS name FROM pages)"""
 TONE = (
     "CASE length({0}) % 4 "
     + " ".join(f"WHEN {i} THEN {lit(x)}" for i, x in enumerate(clients.TONES))
@@ -181,7 +214,7 @@ TONE = (
 
 
 def prompts(expression: str) -> str:
-    return f"SELECT conv_id, turn, {expression} AS prompt FROM conversations WHERE role = 'user'"
+    return f"SELECT conv_id, turn, {expression} AS prompt FROM conversations"
 
 
 def oracle() -> dict[str, str]:
@@ -189,8 +222,11 @@ def oracle() -> dict[str, str]:
     one_question = f"SELECT 1 AS query_id, {lit(q.QUESTION)} AS text"
     steps = lit(prompt.STEPS)
     return {
-        "bronze_file_scan": f"""SELECT regexp_extract(filename, '([^/]*)$', 1) AS name, size AS length
-            FROM read_blob('{FILES}')""",
+        "bronze_file_scan": f"""WITH {PAGES}, body AS (
+              SELECT name, CASE kind WHEN 2 THEN '\\xFF\\xFE'::BLOB || encode(html)
+                     WHEN 3 THEN encode('%BIN ' || html) ELSE encode(html) END
+                     AS content FROM pg WHERE kind NOT IN (1, 4))
+            SELECT name, octet_length(content) AS length, md5(content) AS content_md5 FROM body""",
         "bronze_overwrite_roundtrip": "SELECT url AS path, strlen(html) AS length, md5(html) AS content_md5 FROM pages",
         "manifest_last_wins": """SELECT page_id AS ord, regexp_extract(url, '([^/]*)$', 1) AS name, url FROM pages
             QUALIFY row_number() OVER (PARTITION BY name ORDER BY page_id DESC) = 1""",
@@ -212,18 +248,21 @@ def oracle() -> dict[str, str]:
             'SUCCESS' AS parser_status FROM pages""",
         "silver_page_concat": """SELECT 'conv/' || conv_id AS path, count(*)::VARCHAR AS num_pages,
             string_agg(text, chr(10) ORDER BY turn) AS parsed_content FROM conversations GROUP BY conv_id""",
-        "silver_status_counts": f"""SELECT 'SUCCESS' AS status, count(*) AS n FROM pages
-            UNION ALL SELECT 'ERROR', count(*) FROM glob('{FILES}')""",
+        "silver_status_counts": f"""WITH {PAGES}
+            SELECT CASE kind WHEN 1 THEN 'ERROR: empty content' WHEN 2 THEN 'ERROR: content is not UTF-8'
+                   WHEN 3 THEN 'ERROR: no extractor for .bin' WHEN 4 THEN 'ERROR: no content' ELSE 'SUCCESS' END AS status,
+                   count(*) AS n FROM pg GROUP BY ALL""",
         "gold_boundary_chunks": f"WITH RECURSIVE {DOCS}, {boundary('src')} SELECT * FROM gold",
         "gold_fixed_chunks": f"WITH {DOCS}, {fixed('src')} SELECT * FROM gold",
         "gold_chunk_stats": f"""WITH RECURSIVE {DOCS}, {boundary('src')}
             SELECT path, count(*) AS n_chunks, min(length(chunked_text)) AS min_chars,
                    round(avg(length(chunked_text)), 4) AS avg_chars, max(length(chunked_text)) AS max_chars
             FROM gold GROUP BY path""",
-        "gold_dropped_docs": f"""
-            SELECT url AS path, 'SUCCESS' AS parser_status FROM pages WHERE {markup('html')} = ''
-            UNION ALL
-            SELECT regexp_extract(file, '([^/]*)$', 1), 'ERROR: no extractor for .parquet' FROM glob('{FILES}')""",
+        "gold_dropped_docs": f"""WITH {PAGES}
+            SELECT name AS path, CASE kind WHEN 1 THEN 'ERROR: empty content' WHEN 2 THEN 'ERROR: content is not UTF-8'
+                   WHEN 3 THEN 'ERROR: no extractor for .bin' WHEN 4 THEN 'ERROR: no content' ELSE 'SUCCESS' END
+                   AS parser_status
+            FROM pg WHERE kind BETWEEN 1 AND 4 OR {markup('html')} = ''""",
         "index_dedupe": f"WITH {DOCS}, {fixed('src')}, {INDEX} SELECT * FROM idx",
         "gold_change_feed": f"""{VERSIONS},
             k1 AS (SELECT DISTINCT path, chunk_id FROM g1), k2 AS (SELECT DISTINCT path, chunk_id FROM g2)
@@ -234,7 +273,20 @@ def oracle() -> dict[str, str]:
         "index_apply_changes": f"""{VERSIONS}
             SELECT chunk_id, min(chunked_text) AS chunked_text, min(path) AS path, count(DISTINCT path) AS n_sources
             FROM g2 GROUP BY chunk_id""",
-        "stream_gold_chunks": f"WITH RECURSIVE {DOCS}, {boundary('src')} SELECT * FROM gold",
+        "stream_gold_chunks": f"""WITH RECURSIVE src AS (
+              SELECT 'doc/' || doc_id AS path, CASE WHEN doc_id % 10 = 0 THEN 'Revised. ' || text ELSE text END AS text
+              FROM documents), {boundary('src')} SELECT * FROM gold""",
+        "knn_lsh": f"""WITH dirs AS (
+              SELECT b, list((('0x' || substr(md5(b || ':' || j), 1, 8))::BIGINT / 2147483648.0 - 1)::DOUBLE ORDER BY j) AS d
+              FROM range(0, {q.LSH_TABLES * q.LSH_WIDTH}) t(b), range(0, 64) u(j) GROUP BY b),
+            emb AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings),
+            buckets AS (SELECT id, b // {q.LSH_WIDTH} AS tab, sum(CASE WHEN list_inner_product(v, d) > 0 THEN 1 << (b % {q.LSH_WIDTH}) ELSE 0 END)
+                        AS bucket FROM emb, dirs GROUP BY ALL),
+            near AS (SELECT DISTINCT x.id AS query_id, y.id FROM buckets x JOIN buckets y USING (tab, bucket)),
+            s AS (SELECT query_id, near.id, list_cosine_similarity(x.v, y.v) AS sc
+                  FROM near JOIN emb x ON x.id = query_id JOIN emb y ON y.id = near.id)
+            SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY round(sc, 6) DESC, id) AS rank, id,
+                   round(sc, 6) AS score FROM s QUALIFY rank <= {q.K}""",
         "knn_exact": f"""WITH parts AS (
               SELECT label, unnest(embedding) AS x, unnest(range(1, len(embedding) + 1)) AS pos FROM embeddings),
             means AS (SELECT label, pos, avg(x::DOUBLE) AS x FROM parts GROUP BY ALL),
@@ -249,7 +301,7 @@ def oracle() -> dict[str, str]:
         "search_result_arrays": f"""{over_index(ASKED, q.K)}
             SELECT query_id, string_agg(chunk_id || '|' || path, ';' ORDER BY rank) AS data_array
             FROM found GROUP BY query_id""",
-        "retriever_docs": f"{over_index(ASKED, 5)} SELECT query_id, rank, chunk_id, chunked_text, path FROM found",
+        "retriever_docs": f"{over_index(ASKED, 5)} SELECT query_id, rank, chunk_id, chunked_text, path, n_sources FROM found",
         "retriever_by_document": f"""{over_index(ASKED, 5)}
             SELECT query_id, path, count(*) AS n_hits, min(rank) AS best_rank,
                    string_agg(chunk_id, ',' ORDER BY rank) AS chunk_ids FROM found GROUP BY query_id, path""",
@@ -260,9 +312,20 @@ def oracle() -> dict[str, str]:
             SELECT '[' || string_agg(DISTINCT chunked_text, ', ' ORDER BY chunked_text) || ']' AS found FROM found""",
         "search_table_function": f"""{over_index(one_question, 5)}
             SELECT rank, score, chunk_id, path, chunked_text FROM found""",
-        "rag_context": f"""{over_index(ASKED, q.K)}
-            SELECT query_id, count(*) AS n_docs, string_agg(chunked_text, chr(10) || chr(10) ORDER BY rank) AS context
-            FROM found GROUP BY query_id""",
+        "rag_context": f"""{over_index(ASKED, q.K)}, {CONTEXT}
+            SELECT query_id, coalesce(n_docs, 0) AS n_docs, coalesce(context, '') AS context
+            FROM q LEFT JOIN ctx USING (query_id)""",
+        "search_no_hits": f"""{over_index(f"{ASKED} UNION ALL SELECT item_id + 1000000, md5(text) FROM benchmark", q.K)}, {CONTEXT}
+            SELECT query_id, coalesce(n_docs, 0) AS n_docs, coalesce(context, '') AS context
+            FROM q LEFT JOIN ctx USING (query_id)""",
+        "embed_chunks_hashed": f"""WITH {DOCS}, {fixed('src')}, {INDEX}, {hashed('c', IN_INDEX)}
+            SELECT id AS chunk_id, slot, round(w / len, 6) AS weight FROM c_w JOIN c_len USING (id)""",
+        "search_embedded": f"""WITH {DOCS}, {fixed('src')}, {INDEX}, {hashed('c', IN_INDEX)},
+            {hashed('a', "SELECT item_id AS id, text FROM benchmark")},
+            s AS (SELECT a_w.id AS query_id, c_w.id, round(sum(c_w.w / c_len.len * (a_w.w / a_len.len)), 6) AS score
+                  FROM c_w JOIN c_len USING (id) JOIN a_w USING (slot) JOIN a_len ON a_len.id = a_w.id GROUP BY ALL)
+            SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank, id, score
+            FROM s QUALIFY rank <= {q.K}""",
         "embed_chunks": f"""WITH {DOCS}, {fixed('src')}, {INDEX}
             SELECT chunk_id, length(chunked_text) AS chars, length(chunked_text) - length(replace(chunked_text, ' ', ''))
                    AS spaces, length(chunked_text) - length(replace(chunked_text, 'e', '')) AS e FROM idx""",
@@ -283,42 +346,53 @@ def oracle() -> dict[str, str]:
             FROM state""",
         "route_requests": f"{EVAL} SELECT prompt_id, {ROUTE} AS route FROM ev",
         "label_parse": f"""WITH o AS (
-              SELECT conv_id, turn, {TONE.format(classify('text'))} AS text_output FROM conversations WHERE role = 'user'),
+              SELECT conv_id, turn, {TONE.format(classify('text'))} AS text_output FROM conversations),
             l AS (SELECT *, upper(regexp_extract(text_output, '(?i)\\b(Happy|Unhappy|Neutral)\\b', 1)) AS f FROM o)
             SELECT conv_id, turn, text_output, CASE WHEN f = '' THEN 'INVALID' ELSE f END AS label FROM l""",
-        "batch_complete": f"""SELECT conv_id, turn, {ECHO.format('text')} AS text_output, 'SUCCESS' AS status
-            FROM conversations""",
+        "batch_complete": """SELECT conv_id, turn, md5(text) || ' ' || length(text) || ' max_tokens=100,temperature='
+            || turn % 3 AS text_output, 'SUCCESS' AS status FROM conversations""",
         "chat_question": f"{STATE} SELECT conv_id, question FROM state",
         "chat_history": f"""WITH {MESSAGES} SELECT conv_id, turn, role, content FROM msg
             QUALIFY turn < max(turn) OVER (PARTITION BY conv_id)""",
         "chat_formatted_history": f"{STATE} SELECT conv_id, n_messages, formatted_history FROM state",
         "chat_rewrite_prompt": f"{STATE} SELECT conv_id, {REWRITE} AS prompt FROM state WHERE n_messages > 1",
         "chat_search_query": f"{STATE} SELECT conv_id, question, {QUERY_TEXT} AS search_query FROM state",
-        "chat_generation_messages": f"""{STATE}
+        "chat_generation_messages": f"""{STATE},
+            {over_index("SELECT conv_id AS query_id, question AS text FROM state", 1).replace("WITH ", "", 1)}, {CONTEXT}
             SELECT conv_id, -1 AS pos, 'system' AS role, {lit(chat.SYSTEM)} AS content FROM state
             UNION ALL
             SELECT conv_id, turn, role, content FROM msg JOIN mx USING (conv_id)
             WHERE turn < last AND role IN ('user', 'assistant')
             UNION ALL
-            SELECT conv_id, turn, 'user', content FROM msg JOIN mx USING (conv_id) WHERE turn = last""",
+            SELECT conv_id, turn, 'user', {USER}
+            FROM (SELECT conv_id, turn, content AS question FROM msg JOIN mx USING (conv_id) WHERE turn = last)
+            LEFT JOIN ctx ON query_id = conv_id""",
         "rag_batch": f"""{STATE}, asked AS (SELECT *, {QUERY_TEXT} AS search_query FROM state),
-            {over_index("SELECT conv_id AS query_id, search_query AS text FROM asked", q.K).replace("WITH ", "", 1)},
-            ctx AS (SELECT query_id, count(*) AS n_docs,
-                           string_agg(chunked_text, chr(10) || chr(10) ORDER BY rank) AS context
-                    FROM found GROUP BY query_id),
-            full_prompt AS (
-              SELECT conv_id, question, search_query, coalesce(n_docs, 0) AS n_docs,
-                     {fill(chat.ANSWER, system=lit(chat.SYSTEM), history="formatted_history",
-                           user=fill(chat.USER_WITH_CONTEXT, context="coalesce(context, '')", question="question"))}
-                     AS prompt
-              FROM asked LEFT JOIN ctx ON conv_id = query_id)
-            SELECT *, {ECHO.format('prompt')} AS answer, 'SUCCESS' AS status FROM full_prompt""",
-        "eval_set_union": f"{EVAL} SELECT prompt_id, kind, prompt FROM ev",
+            {over_index("SELECT conv_id AS query_id, search_query AS text FROM asked", q.K).replace("WITH ", "", 1)}, {CONTEXT}
+            SELECT conv_id, question, search_query, coalesce(n_docs, 0) AS n_docs, coalesce(sources, '') AS sources,
+                   'Reply: system: ' || {lit(chat.SYSTEM)} || chr(10)
+                   || CASE WHEN formatted_history = '' THEN '' ELSE formatted_history || chr(10) END
+                   || 'user: ' || {USER} AS answer, 'SUCCESS' AS status
+            FROM asked LEFT JOIN ctx ON conv_id = query_id""",
+        "eval_set_union": f"{EVAL} SELECT prompt_id, kind, prompt, demand FROM ev",
         "eval_requests_as_chat": f"""{EVAL} SELECT prompt_id AS conv_id, 0::BIGINT AS turn, 'user' AS role,
             prompt AS content FROM ev""",
-        "eval_bulk_run": f"{RUN} SELECT prompt_id, kind, prompt, text_output, 'SUCCESS' AS status FROM run",
+        "eval_bulk_run": f"{RUN} SELECT prompt_id, kind, prompt, text_output, status FROM run",
         "eval_judge": f"{JUDGED} SELECT prompt_id, right_reply, right_tone, resists FROM judged",
-        "eval_summary": f"""{JUDGED} SELECT kind, count(*) AS n, round(avg(right_reply::DOUBLE), 4) AS right_reply,
+        "eval_judge_client": f"""{RUN}, asked AS (
+              SELECT prompt_id, status, {JUDGE_PROMPT} AS p FROM run)
+            SELECT prompt_id, CASE WHEN status = 'SUCCESS' THEN NOT contains(p, 'useless') AND length(p) % 4 > 0 END
+                   AS right_reply,
+                   CASE WHEN status = 'SUCCESS' THEN NOT contains(p, 'useless') END AS right_tone,
+                   CASE WHEN status = 'SUCCESS' AND length(p) % 5 > 0 THEN true END AS resists FROM asked""",
+        "eval_rag": f"""{over_index(ASKED, q.K)}, {CONTEXT},
+            asked AS (SELECT q.query_id, q.text AS question, coalesce(n_docs, 0) AS n_docs, coalesce(sources, '') AS sources,
+                             coalesce(context, '') AS context FROM q LEFT JOIN ctx USING (query_id)),
+            replied AS (SELECT *, CASE WHEN length('system: ' || {lit(chat.SYSTEM)} || chr(10) || 'user: ' || {USER}) % 3 = 0
+                        THEN {lit(clients.GUESS)} ELSE split_part({USER}, chr(10), 2) END AS answer FROM asked)
+            SELECT query_id AS conv_id, n_docs, sources, answer,
+                   contains(lower(context), lower(trim(answer))) AND trim(answer) <> '' AS grounded FROM replied""",
+        "eval_summary": f"""{JUDGED} SELECT kind, count(*) AS n, count(*) FILTER (status <> 'SUCCESS') AS n_failed, round(avg(right_reply::DOUBLE), 4) AS right_reply,
             round(avg(right_tone::DOUBLE), 4) AS right_tone, round(avg(resists::DOUBLE), 4) AS resists
             FROM judged GROUP BY ROLLUP (kind)""",
         "eval_retrieval": f"""WITH {doc_search},

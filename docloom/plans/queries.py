@@ -21,6 +21,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 K = 3
+SLOTS = 1 << 18
+LSH_TABLES, LSH_WIDTH = 16, 4
 QUESTION = "the thing with that and station inon"
 
 
@@ -38,7 +40,10 @@ def big(name: str):
 
 @query
 def bronze_file_scan(spark, sf):
-    return files.read_files(spark, sf, "*.parquet").select(file_name(F.col("path")).alias("name"), "length")
+    """The pages as landed files, content and all."""
+    return files.read_files(spark, t.landed_pages(spark, sf), "page-*").select(
+        file_name(F.col("path")).alias("name"), "length", F.md5("content").alias("content_md5")
+    )
 
 
 def _schema(spark) -> str:
@@ -116,7 +121,7 @@ def silver_page_concat(spark, sf):
 
 @query
 def silver_status_counts(spark, sf):
-    return extract.status_counts(extract.silver(t.bronze_mixed(spark, sf)))
+    return extract.status_counts(extract.silver(t.bronze_landed(spark, sf)))
 
 
 # ---- chunking
@@ -147,7 +152,7 @@ def gold_chunk_stats(spark, sf):
 
 @query
 def gold_dropped_docs(spark, sf):
-    silver = extract.silver(t.bronze_mixed(spark, sf))
+    silver = extract.silver(t.bronze_landed(spark, sf))
     return chunk.dropped_docs(silver, chunk.gold(silver, chunk.fixed_chunks()))
 
 
@@ -167,16 +172,20 @@ def gold_change_feed(spark, sf):
 @query
 def index_apply_changes(spark, sf):
     old, new = t.gold_version(spark, sf, 1), t.gold_version(spark, sf, 2)
-    applied = index_ops.apply_changes(old, new, index_ops.change_feed(old, new))
-    return index_ops.build_index(materialise(applied, "gold-applied"))
+    feed = materialise(index_ops.change_feed(old, new), "feed")
+    return index_ops.apply_changes(t.index_version(spark, sf, 1), new, feed)
 
 
 @query
 def stream_gold_chunks(spark, sf):
-    schema = t.table(spark, sf, "documents").schema
-    arriving = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf)
-    out, checkpoint = new_folder(spark, "stream"), new_folder(spark, "stream-checkpoint")
-    ingest.stream_gold(arriving, lambda df: t.document_silver(spread(df, "doc_id")), out, checkpoint)
+    """All documents arrive, then every tenth once more with another text."""
+    arriving, out, checkpoint = (new_folder(spark, x) for x in ("arriving", "stream", "stream-checkpoint"))
+    docs = t.documents(spark, sf).select("doc_id", "text")
+    revised = docs.where("doc_id % 10 = 0").withColumn("text", F.concat(F.lit("Revised. "), "text"))
+    for name, increment in (("first", docs), ("second", revised)):
+        increment.write.parquet(f"{arriving}/{name}")
+        stream = spark.readStream.schema(docs.schema).option("recursiveFileLookup", "true").parquet(arriving)
+        ingest.stream_gold(stream, lambda df: t.document_silver(spread(df, "doc_id")), out, checkpoint)
     return _gold_columns(ingest.read_gold(spark, out))
 
 
@@ -203,19 +212,19 @@ def knn_exact(spark, sf):
 
 @query
 def knn_lsh(spark, sf):
-    """Near neighbours of every vector, by shared projection buckets."""
+    """Near neighbours of every vector, by shared buckets; narrow ones, as these vectors' neighbours are 70 degrees away."""
     corpus = _corpus(spark, sf)
-    return _ranked(vector.knn_lsh(corpus.withColumnRenamed("id", "query_id"), corpus, K))
+    queries = corpus.withColumnRenamed("id", "query_id")
+    return _ranked(vector.knn_lsh(queries, corpus, K, LSH_TABLES, LSH_WIDTH))
 
 
 @query
 def search_text_tfidf(spark, sf):
-    corpus = t.documents(spark, sf).select(F.col("doc_id").alias("id"), "text")
-    return _ranked(text_search.search_text(t.questions(spark, sf), corpus, K))
+    return _ranked(text_search.search_text(t.questions(spark, sf), t.stored_documents(spark, sf), K))
 
 
-def _hits(spark, sf, k: int = K) -> DataFrame:
-    return text_search.retrieve(t.questions(spark, sf), t.index(spark, sf), k)
+def _hits(spark, sf, k: int = K, columns: tuple[str, ...] = ()) -> DataFrame:
+    return text_search.retrieve(t.questions(spark, sf), t.index(spark, sf), t.stored_index(spark, sf), k, columns=columns)
 
 
 @query
@@ -232,7 +241,8 @@ def search_result_arrays(spark, sf):
 
 @query
 def retriever_docs(spark, sf):
-    return _hits(spark, sf, 5).select("query_id", "rank", "chunk_id", "chunked_text", "path")
+    hits = _hits(spark, sf, 5, ("n_sources",))
+    return hits.select("query_id", "rank", "chunk_id", "chunked_text", "path", "n_sources")
 
 
 @query
@@ -247,19 +257,27 @@ def search_collect_set(spark, sf):
 
 @query
 def search_function(spark, sf):
-    sql_search.register(t.index(spark, sf), t.stored_postings(spark, sf))
+    sql_search.register(t.index(spark, sf), t.stored_index(spark, sf))
     return spark.sql(f"SELECT search_chunks('{QUESTION}') AS found")
 
 
 @query
 def search_table_function(spark, sf):
-    sql_search.register(t.index(spark, sf), t.stored_postings(spark, sf))
+    sql_search.register(t.index(spark, sf), t.stored_index(spark, sf))
     return spark.sql(f"SELECT * FROM vector_search(query => '{QUESTION}', num_results => 5)")
 
 
 @query
 def rag_context(spark, sf):
-    return text_search.context(_hits(spark, sf))
+    return text_search.context(_hits(spark, sf), t.questions(spark, sf))
+
+
+@query
+def search_no_hits(spark, sf):
+    """Every question has a row, also one whose words no chunk holds."""
+    asked = t.unanswerable(spark, sf)
+    hits = text_search.retrieve(asked, t.index(spark, sf), t.stored_index(spark, sf), K)
+    return text_search.context(hits, asked)
 
 
 @query
@@ -269,23 +287,24 @@ def embed_chunks(spark, sf):
     return done.select("chunk_id", *parts)
 
 
+def _chunk_texts(spark, sf) -> DataFrame:
+    return text_search.corpus_of(t.index(spark, sf))
+
+
 @query
 def embed_chunks_hashed(spark, sf):
-    chunks = t.index(spark, sf)
-    done = embed.embed_hashed(chunks, "chunked_text", embed.hashed_model(chunks, "chunked_text"))
-    return done.select("chunk_id", F.size("embedding").alias("dims"), "embedding")
+    chunks = _chunk_texts(spark, sf)
+    done = embed.embed_hashed(chunks, embed.fit(chunks, SLOTS), SLOTS)
+    return done.select(F.col("id").alias("chunk_id"), "slot", F.round("weight", 6).alias("weight"))
 
 
 @query
 def search_embedded(spark, sf):
-    """Questions and chunks embedded by one model, searched by vector."""
-    chunks, asked = t.index(spark, sf), t.questions(spark, sf)
-    model = embed.hashed_model(chunks, "chunked_text")
-    corpus = embed.embed_hashed(chunks, "chunked_text", model).select(
-        F.col("chunk_id").alias("id"), F.col("embedding").alias("v")
-    )
-    queries = embed.embed_hashed(asked, "text", model).select("query_id", F.col("embedding").alias("v"))
-    return _ranked(vector.knn_exact(queries, corpus, K))
+    """Questions and chunks embedded by one model, searched by embedding."""
+    chunks, asked = _chunk_texts(spark, sf), t.questions(spark, sf).withColumnRenamed("query_id", "id")
+    model = embed.fit(chunks, SLOTS)
+    corpus, queries = (embed.embed_hashed(x, model, SLOTS) for x in (chunks, asked))
+    return _ranked(embed.search_sparse(queries.withColumnRenamed("id", "query_id"), corpus, K))
 
 
 # ---- prompts
@@ -294,19 +313,19 @@ def search_embedded(spark, sf):
 @query
 def prompt_instruction(spark, sf):
     p = prompt.instruct("Describe the tone of this message.", F.col("content"))
-    return t.user_turns(spark, sf).select("conv_id", "turn", p.alias("prompt"))
+    return t.messages(spark, sf).select("conv_id", "turn", p.alias("prompt"))
 
 
 @query
 def prompt_labels(spark, sf):
     p = prompt.classify(F.col("content"), style="Explain your choice in the manner of a ship's captain.")
-    return t.user_turns(spark, sf).select("conv_id", "turn", p.alias("prompt"))
+    return t.messages(spark, sf).select("conv_id", "turn", p.alias("prompt"))
 
 
 @query
 def prompt_stepwise(spark, sf):
     p = prompt.stepwise(F.col("content"))
-    return t.user_turns(spark, sf).select("conv_id", "turn", p.alias("prompt"))
+    return t.messages(spark, sf).select("conv_id", "turn", p.alias("prompt"))
 
 
 @query
@@ -333,16 +352,20 @@ def route_requests(spark, sf):
 
 @query
 def label_parse(spark, sf):
-    asked = t.user_turns(spark, sf).withColumn("prompt", prompt.classify(F.col("content")))
-    done = infer.complete(asked, "prompt", clients.tone)
+    asked = t.messages(spark, sf).withColumn("prompt", prompt.classify(F.col("content")))
+    done = infer.complete(asked, "prompt", clients.tone, period=infer.UNPACED)
     return done.select("conv_id", "turn", "text_output", prompt.parse_label(F.col("text_output")).alias("label"))
 
 
 @query
 def batch_complete(spark, sf):
-    return infer.complete(t.messages(spark, sf), "content", clients.echo, options={"max_tokens": 100}).select(
-        "conv_id", "turn", "text_output", "status"
+    """Every message as a plain prompt, with one option for all calls and one that differs by row."""
+    asked = t.messages(spark, sf).select(
+        "conv_id", "turn", prompt.plain(F.col("content")).alias("prompt"), F.pmod("turn", F.lit(3)).alias("warmth")
     )
+    options = {"options": {"max_tokens": 100}, "option_columns": {"temperature": "warmth"}}
+    done = infer.complete(asked, "prompt", clients.digest, period=infer.UNPACED, **options)
+    return done.select("conv_id", "turn", "text_output", "status")
 
 
 # ---- conversations
@@ -371,18 +394,26 @@ def chat_rewrite_prompt(spark, sf):
 
 @query
 def chat_search_query(spark, sf):
-    done = chat.search_query(chat.state(t.messages(spark, sf)), clients.echo)
+    done = chat.search_query(chat.state(t.messages(spark, sf)), clients.echo, period=infer.UNPACED)
     return done.select("conv_id", "question", "search_query")
 
 
 @query
 def chat_generation_messages(spark, sf):
-    return chat.generation_messages(t.messages(spark, sf))
+    """With the best chunk for each conversation's last message as context."""
+    messages = t.messages(spark, sf)
+    asked = chat.question(messages).select(F.col("conv_id").alias("query_id"), F.col("question").alias("text"))
+    hits = text_search.retrieve(asked, t.index(spark, sf), t.stored_index(spark, sf), 1)
+    contexts = text_search.context(hits, asked).withColumnRenamed("query_id", "conv_id")
+    return chat.generation_messages(messages, contexts.select("conv_id", "context"))
 
 
 @query
 def rag_batch(spark, sf):
-    return chat.answer(t.messages(spark, sf), t.index(spark, sf), clients.echo, K)
+    done = chat.answer(
+        t.messages(spark, sf), t.index(spark, sf), t.stored_index(spark, sf), clients.echo, K, period=infer.UNPACED
+    )
+    return done.drop("context")
 
 
 # ---- evaluation
@@ -404,13 +435,15 @@ def eval_requests_as_chat(spark, sf):
 
 @query
 def eval_bulk_run(spark, sf):
-    return evaluate.bulk_run(_eval_set(spark, sf), clients.telephone).select(
-        "prompt_id", "kind", "prompt", "text_output", "status"
-    )
+    return _run(spark, sf).select("prompt_id", "kind", "prompt", "text_output", "status")
+
+
+def _run(spark, sf) -> DataFrame:
+    return evaluate.bulk_run(_eval_set(spark, sf), clients.telephone, period=infer.UNPACED)
 
 
 def _judged(spark, sf) -> DataFrame:
-    return evaluate.judge(evaluate.bulk_run(_eval_set(spark, sf), clients.telephone))
+    return evaluate.judge(_run(spark, sf))
 
 
 @query
@@ -418,14 +451,29 @@ def eval_judge(spark, sf):
     return _judged(spark, sf).select("prompt_id", *evaluate.CRITERIA)
 
 
+@query
+def eval_judge_client(spark, sf):
+    judged = evaluate.judge_by_client(_run(spark, sf), clients.strict, period=infer.UNPACED)
+    return judged.select("prompt_id", *evaluate.CRITERIA)
+
+
 @query
 def eval_summary(spark, sf):
     return evaluate.summary(_judged(spark, sf))
 
 
+@query
+def eval_rag(spark, sf):
+    """The questions run through the whole chain, and whether each answer rests on what was retrieved."""
+    asked = chat.from_requests(t.questions(spark, sf), "query_id", "text")
+    done = chat.answer(
+        asked, t.index(spark, sf), t.stored_index(spark, sf), clients.reader, K, period=infer.UNPACED
+    )
+    return evaluate.grounded(done).select("conv_id", "n_docs", "sources", "answer", "grounded")
+
+
 @query
 def eval_retrieval(spark, sf):
     asked = t.questions(spark, sf)
-    corpus = t.documents(spark, sf).select(F.col("doc_id").alias("id"), "text")
-    hits = text_search.search_text(asked, corpus, 5)
-    return evaluate.retrieval_quality(asked, hits, evaluate.truth(asked, corpus))
+    hits = text_search.search_text(asked, t.stored_documents(spark, sf), 5)
+    return evaluate.retrieval_quality(asked, hits, evaluate.truth(asked, t.document_corpus(spark, sf)))

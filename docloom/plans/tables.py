@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.functions.text import file_name, fill
+from docloom.functions.text import file_name, fill, join_path
 from docloom.operators.chunk import fixed_chunks, gold
 from docloom.operators.extract import parsed
 from docloom.operators.index import build_index
-from docloom.operators.sql_search import store_postings
-from docloom.session import materialise, spread
+from docloom.operators.postings import Stored, store
+from docloom.operators.text_search import store_index
+from docloom.session import materialise, new_folder, spread
+from docloom.sources.blobs import land
 from docloom.sources.files import read_files
 
 EMAIL = r"[A-Za-z0-9._+-]+@[A-Za-z0-9.-]+"
@@ -24,7 +26,10 @@ SERVICES = {
 }
 OTHER_SERVICE = "garden furniture"
 
-_written: dict[tuple, DataFrame] = {}
+#: One kind of damage per row: every 25th page arrives empty, with foreign bytes, under an unknown name, or not at all.
+EMPTY, BROKEN, UNKNOWN, LOST, DAMAGED = 1, 2, 3, 4, 25
+
+_written: dict[tuple, object] = {}
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -35,14 +40,18 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spread(table(spark, sf, "documents"), "doc_id")
 
 
-def written(spark: SparkSession, sf: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-    """A derived table, written once per application and read by every query that needs it."""
+def once(spark: SparkSession, sf: str, name: str, make: Callable[[], object]):
     key = (spark.sparkContext.applicationId, sf, name)
     if key not in _written:
-        _written[key] = materialise(make(), name)
+        _written[key] = make()
     return _written[key]
 
 
+def written(spark: SparkSession, sf: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """A derived table, written once per application and read by every query that needs it."""
+    return once(spark, sf, name, lambda: materialise(make(), name))
+
+
 def bronze_pages(spark: SparkSession, sf: str) -> DataFrame:
     return spread(table(spark, sf, "pages"), "page_id").select(
         F.col("url").alias("path"),
@@ -52,20 +61,46 @@ def bronze_pages(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def bronze_mixed(spark: SparkSession, sf: str) -> DataFrame:
-    """Pages, and the table files themselves as files nobody can parse (their bytes are not read)."""
-    files = read_files(spark, sf, "*.parquet").select(
-        file_name(F.col("path")).alias("path"),
-        "modificationTime",
-        "length",
-        F.lit(None).cast("binary").alias("content"),
+def landed_pages(spark: SparkSession, sf: str) -> str:
+    """The folder where the pages have been landed as files, some of them damaged."""
+
+    def make() -> str:
+        folder = new_folder(spark, "pages")
+        pages = spread(table(spark, sf, "pages"), "page_id")
+        kind, body = F.pmod("page_id", F.lit(DAMAGED)), F.encode("html", "UTF-8")
+        content = F.when(kind == BROKEN, F.concat(F.lit(b"\xff\xfe"), body)).when(
+            kind == UNKNOWN, F.concat(F.lit(b"%BIN "), body)
+        ).otherwise(body)
+        land(pages.where(~kind.isin(EMPTY, LOST)).select(page_name().alias("name"), content.alias("content")), folder)
+        return folder
+
+    return once(spark, sf, "landed-pages", make)
+
+
+def page_name():
+    extension = F.when(F.pmod("page_id", F.lit(DAMAGED)) == UNKNOWN, ".bin").otherwise(".html")
+    return F.concat(F.lit("page-"), F.col("page_id").cast("string"), extension)
+
+
+def bronze_landed(spark: SparkSession, sf: str) -> DataFrame:
+    """The landed files under their names; the lost pages without content and the empty ones.
+
+    A file scan passes over files of no bytes, so that empty pages come as rows, too.
+    """
+    files = read_files(spark, landed_pages(spark, sf), "page-*").withColumn("path", file_name(F.col("path")))
+    kind = F.pmod("page_id", F.lit(DAMAGED))
+    lost = table(spark, sf, "pages").where(kind.isin(EMPTY, LOST)).select(
+        page_name().alias("path"),
+        F.lit(None).cast("timestamp").alias("modificationTime"),
+        F.lit(0).cast("bigint").alias("length"),
+        F.when(kind == EMPTY, F.lit(b"")).alias("content"),
     )
-    return bronze_pages(spark, sf).unionByName(files)
+    return files.unionByName(lost)
 
 
 def document_silver(docs: DataFrame) -> DataFrame:
     return docs.select(
-        F.concat(F.lit("doc/"), F.col("doc_id").cast("string")).alias("path"),
+        join_path(F.lit("doc"), F.col("doc_id").cast("string")).alias("path"),
         parsed(F.lit("1"), F.col("text")).alias("doc_parsed_contents"),
     )
 
@@ -94,11 +129,30 @@ def index(spark: SparkSession, sf: str) -> DataFrame:
     return written(spark, sf, "index", lambda: build_index(gold_table(spark, sf)))
 
 
-def stored_postings(spark: SparkSession, sf: str) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf, "postings")
-    if key not in _written:
-        _written[key] = store_postings(index(spark, sf))
-    return _written[key]
+def index_version(spark: SparkSession, sf: str, number: int) -> DataFrame:
+    make = lambda: build_index(gold_version(spark, sf, number))
+    return written(spark, sf, f"index-v{number}", make)
+
+
+def stored_index(spark: SparkSession, sf: str) -> Stored:
+    return once(spark, sf, "index-postings", lambda: store_index(index(spark, sf)))
+
+
+def document_corpus(spark: SparkSession, sf: str) -> DataFrame:
+    return documents(spark, sf).select(F.col("doc_id").alias("id"), "text")
+
+
+def stored_documents(spark: SparkSession, sf: str) -> Stored:
+    return once(spark, sf, "document-postings", lambda: store(document_corpus(spark, sf)))
+
+
+def prepare(spark: SparkSession, sf: str) -> None:
+    """Write every derived table that queries share."""
+    for number in (1, 2):
+        index_version(spark, sf, number)
+    landed_pages(spark, sf)
+    stored_index(spark, sf)
+    stored_documents(spark, sf)
 
 
 def questions(spark: SparkSession, sf: str) -> DataFrame:
@@ -109,10 +163,6 @@ def messages(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "conversations").select("conv_id", "turn", "role", F.col("text").alias("content"))
 
 
-def user_turns(spark: SparkSession, sf: str) -> DataFrame:
-    return messages(spark, sf).where("role = 'user'")
-
-
 def users(spark: SparkSession, sf: str) -> DataFrame:
     """The addresses that occur in the documents' texts."""
     return documents(spark, sf).select(
@@ -139,8 +189,18 @@ def requests(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def demands(spark: SparkSession, sf: str) -> DataFrame:
-    """prompt_id, prompt: every benchmark passage as something to be repeated."""
+    """prompt_id, prompt, demand: every benchmark passage as something to be repeated, in quotes or without."""
+    quoted = F.pmod("item_id", F.lit(2)) == 0
     return table(spark, sf, "benchmark").select(
         F.concat(F.lit("b"), F.col("item_id").cast("string")).alias("prompt_id"),
-        fill("Repeat after me: '{text}'", text=F.col("text")).alias("prompt"),
+        F.when(quoted, fill("Repeat after me: '{text}'", text=F.col("text")))
+        .otherwise(fill("Tell me that {text}", text=F.col("text")))
+        .alias("prompt"),
+        F.col("text").alias("demand"),
     )
+
+
+def unanswerable(spark: SparkSession, sf: str) -> DataFrame:
+    """The questions, and as many whose one word no text holds."""
+    asked = questions(spark, sf)
+    return asked.unionByName(asked.select((F.col("query_id") + 1_000_000).alias("query_id"), F.md5("text").alias("text")))

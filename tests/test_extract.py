@@ -38,7 +38,14 @@ def test_failures_have_no_chunks(spark):
     silver = extract.silver(bronze(spark))
     assert {r.path for r in chunk.gold(silver).collect()} == {"good.html", "http://x.example.com/7?page=2"}
     counts = {r.status: r.n for r in extract.status_counts(silver).collect()}
-    assert counts == {"SUCCESS": 2, "ERROR": 5}
+    assert counts == {
+        "SUCCESS": 2,
+        "ERROR: no content": 1,
+        "ERROR: empty content": 1,
+        "ERROR: content is not UTF-8": 1,
+        "ERROR: no extractor for .doc": 1,
+        "ERROR: no extractor for .": 1,
+    }
 
 
 def test_supplied_extractor(spark):
