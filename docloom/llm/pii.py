@@ -30,8 +30,8 @@ Span = tuple[str, int, int]
 # The characters of the local part, and the domain.
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-# The looks behind spare starts inside a run of digits, which cannot succeed if its beginning fails.
-IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+# A run of digits without three more parts is taken whole, since no start inside it can succeed either.
+IP = re.compile(r"[0-9][0-9]*+((?:\.[0-9]++){3})?")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]")
@@ -49,6 +49,7 @@ DIGITS = ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight"
 
 _DIGIT = "(?:" + "|".join(DIGITS) + ")"
 SPELLED = re.compile(rf"(?i)\b(?:plus[\s-]+(?={_DIGIT}\b))?{_DIGIT}(?:[\s-]+{_DIGIT})+\b")
+FOLLOWING = re.compile(rf"[\s-]{_DIGIT}\b")
 SPELLED_PART = re.compile(rf"(?i)plus[\s-]+|{_DIGIT}|[\s-]+")
 BRACKETED = re.compile(r"(?i)\s?[\[({<]\s?(?:(at|@)|(dot|\.))\s?[\])}>]\s?")
 # Common last parts of domains; without one, words around "at" and "dot" are prose.
@@ -60,8 +61,8 @@ WORDED = re.compile(
 WORDED_DOT = re.compile(r"(?i)\s+dot\s+")
 
 
-def _plain_forms() -> tuple[dict[str, str], re.Pattern]:
-    """Characters that look like ASCII ones, and a pattern for them: by decomposition, by value, by the list."""
+def _plain_forms() -> tuple[dict[str, str], np.ndarray]:
+    """Characters that look like ASCII ones, and whether a code point is one: by decomposition, by value, by the list."""
     forms = dict(LOOK_ALIKES) | dict.fromkeys(INVISIBLE, "") | dict.fromkeys(HYPHENS, "-")
     for code in [*range(0x80, 0x3000), *range(0x3000, 0x3400), *range(0xA000, 0xAC00), *range(0xF900, 0x10000),
                  *range(0x10000, 0x11FFF), *range(0x1D400, 0x1D800), *range(0x1E000, 0x20000)]:
@@ -72,10 +73,12 @@ def _plain_forms() -> tuple[dict[str, str], re.Pattern]:
             plain = unicodedata.normalize("NFKC", char)
             if len(plain) == 1 and "!" <= plain <= "~":
                 forms.setdefault(char, plain)
-    return forms, re.compile("[" + "".join(map(re.escape, sorted(forms))) + "]")
+    known = np.zeros(0x110000, bool)
+    known[[ord(c) for c in forms]] = True
+    return forms, known
 
 
-def plain_forms() -> tuple[dict[str, str], re.Pattern]:
+def plain_forms() -> tuple[dict[str, str], np.ndarray]:
     return once(("plain forms",), _plain_forms)
 
 
@@ -102,7 +105,7 @@ def found_in(text: str) -> list[Span]:
     """The plain identifiers, kind by kind, from left to right."""
     spans = list(emails(text))
     for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        if m[1] and all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
             spans.append(("ip", *m.span()))
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 16 and 16 <= len(digits := NOT_DIGIT.sub("", m[0])) <= 19 and luhn(digits):
@@ -142,8 +145,9 @@ class Rewritten:
 def look_alikes(text: str) -> list[tuple[int, int, str]]:
     if text.isascii():
         return []
-    forms, pattern = plain_forms()
-    return [(*m.span(), forms[m[0]]) for m in pattern.finditer(text)]
+    forms, known = plain_forms()
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return [(i, i + 1, forms[text[i]]) for i in np.flatnonzero(known[points]).tolist()]
 
 
 def spelled_digits(text: str) -> list[tuple[int, int, str]]:
@@ -171,7 +175,8 @@ def worded(text: str) -> list[tuple[int, int, str]]:
 
 
 def may_spell(lower: str) -> bool:
-    return sum(word in lower for word in DIGITS) > 0
+    """Whether a digit as a word follows a gap, as all but the first in a row do."""
+    return any(word in lower for word in DIGITS) and bool(FOLLOWING.search(lower))
 
 
 def disguised(text: str, base: list[Span]) -> list[Span]:
