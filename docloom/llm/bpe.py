@@ -237,7 +237,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
 
 def _token_strings(path: str) -> pa.Array:
-    known = vocab.tokenizer(path)
+    known = vocab.Tokenizer.from_file(path)
     return pa.array([known.id_to_token(i) or "" for i in range(known.get_vocab_size())], pa.string())
 
 

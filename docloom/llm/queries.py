@@ -25,7 +25,13 @@ def query(run: Query) -> Query:
     return run
 
 
+ROWS_PER_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A given table. Its rows are long, so that Arrow batches of the default 10,000 would be, too."""
+    if spark.conf.get(ROWS_PER_BATCH) == "10000":
+        spark.conf.set(ROWS_PER_BATCH, "1000")
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 

@@ -7,19 +7,14 @@ import re
 
 import numpy as np
 import pyarrow as pa
+from tokenizers import Tokenizer
 
 from docloom.llm.worker import once
 from docloom.llm.words import UNUSUAL, Numbers, distinct_words, ragged
 
 
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
-
-
-def tokenizer(path: str):
-    return once(("tokenizer", path), lambda: _tokenizer(path))
+def tokenizer(path: str) -> Tokenizer:
+    return once(("tokenizer", path), lambda: Tokenizer.from_file(path))
 
 
 def _described(path: str) -> dict:
