@@ -14,7 +14,6 @@ from docloom.session import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -130,15 +129,3 @@ def op9_pii_spans(spark, sf):
 def op10_exact_dedup(spark, sf):
     return exact_dedup.groups(documents(spark, sf)).drop("_key")
 
-
-ORACLE["op10_exact_dedup"] = r"""
-    WITH d AS (
-      SELECT doc_id, length(coalesce(text, '')) AS points,
-             sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
-      FROM documents)
-    SELECT doc_id,
-           first_value(doc_id) OVER w AS keep_id,
-           count(*) OVER (PARTITION BY text_sha256) AS group_size,
-           doc_id = first_value(doc_id) OVER w AS kept,
-           text_sha256
-    FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id)"""

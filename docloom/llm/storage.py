@@ -1,9 +1,7 @@
-"""Intermediate tables and plain files in the folder that driver and executors share."""
+"""Intermediate tables in the folder that driver and executors share."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 
 from docloom.session import new_folder
@@ -14,24 +12,3 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def write_file(path: str, parts: list) -> None:
-    """Write a file whole or not at all: under another name first, so that a lost or repeated task leaves no half."""
-    from pyarrow import fs
-
-    system, place = fs.FileSystem.from_uri(path)
-    system.create_dir(place.rpartition("/")[0], recursive=True)
-    half = f"{place}.{uuid.uuid4().hex}.part"
-    with system.open_output_stream(half) as out:
-        for part in parts:
-            out.write(part)
-    system.move(half, place)
-
-
-def open_file(path: str):
-    """A file that can be read and sought."""
-    from pyarrow import fs
-
-    system, place = fs.FileSystem.from_uri(path)
-    return system.open_input_file(place)

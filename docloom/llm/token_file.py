@@ -28,9 +28,10 @@ from pyspark.sql import functions as F
 
 from docloom.llm import vocab
 from docloom.llm.packing import END, binary_lists
-from docloom.llm.storage import keep, open_file, write_file
+from docloom.llm.storage import keep
 from docloom.llm.words import slices
 from docloom.session import new_folder
+from docloom.sources.blobs import open_file, write_file
 
 MAGIC = b"TOKF0001"
 HEADER = "<8sQQQQI"

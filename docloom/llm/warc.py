@@ -27,8 +27,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.storage import keep, open_file, write_file
+from docloom.llm.storage import keep
 from docloom.session import broadcast_if_small, new_folder
+from docloom.sources.blobs import open_file, write_file
 
 FILE_BYTES = 32 * 1024 * 1024
 ROW_BYTES = 8 * 1024 * 1024
