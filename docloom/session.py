@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,9 +51,24 @@ def work_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def own_folder(spark: SparkSession) -> str:
+    """Where everything lies that this application writes for itself."""
+    return os.path.join(work_dir(spark), "docloom", spark.sparkContext.applicationId)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A fresh path below the work folder; never reused, so retries cannot clash."""
-    return os.path.join(work_dir(spark), "docloom", f"{label}-{uuid.uuid4().hex}")
+    """A fresh path below the application's folder; never reused, so retries cannot clash."""
+    return os.path.join(own_folder(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete all that this application has written for itself, once nothing reads it any more.
+
+    Results are lazy and read intermediates, so that only the application knows when; what
+    it leaves has its id for a name.
+    """
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(own_folder(spark))
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -67,18 +82,33 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _width(column: Column, kind: T.DataType) -> Column:
+    """The bytes of a value within its row, about."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = F.octet_length(column)
+    elif isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)):
+            size = F.aggregate(column, F.lit(0).cast("bigint"), lambda n, x: n + _width(x, kind.elementType))
+        else:
+            size = 8 * F.size(column)
+    elif isinstance(kind, T.MapType):
+        keys, values = F.map_keys(column), F.map_values(column)
+        size = _width(keys, T.ArrayType(kind.keyType)) + _width(values, T.ArrayType(kind.valueType))
+    elif isinstance(kind, T.StructType):
+        size = F.lit(0)
+        for field in kind.fields:
+            size = size + _width(column[field.name], field.dataType)
+    else:
+        return F.lit(8).cast("bigint")
+    return F.coalesce(size.cast("bigint"), F.lit(0)) + 8
+
+
 def measured(df: DataFrame) -> tuple[int, int]:
     """(rows, bytes) of ``df``, from one aggregate over it."""
-    width = F.lit(16)
+    width = F.lit(16).cast("bigint")
     for field in df.schema.fields:
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
-        elif isinstance(field.dataType, T.ArrayType):
-            size = 32 if isinstance(field.dataType.elementType, T.StructType) else 8
-            width = width + size * F.greatest(F.coalesce(F.size(field.name), F.lit(0)), F.lit(0))
-        else:
-            width = width + 8
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width.cast("bigint")).alias("b")).first()
+        width = width + _width(df[field.name], field.dataType)
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
     return row["n"], row["b"] or 0
 
 
