@@ -118,12 +118,13 @@ def write(
     folder = folder or new_folder(docs.sparkSession, "token-files")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, nth = TaskContext.get().partitionId(), 0
+        part, nth, attempt = TaskContext.get().partitionId(), 0, TaskContext.get().taskAttemptId()
         held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
         tokens = 0
 
         def close() -> pa.RecordBatch:
-            name = f"{folder}/{part:06d}-{nth:04d}.tokens"
+            # a repeated task writes files of its own; the list has those of the one that counts
+            name = f"{folder}/{part:06d}-{nth:04d}-{attempt}.tokens"
             doc_ids = pa.concat_arrays([h[0] for h in held])
             write_file(name, file_bytes(doc_ids, *(np.concatenate([h[i] for h in held]) for i in (1, 2))))
             row = [[part], [nth], [name], [len(doc_ids)], [tokens]]

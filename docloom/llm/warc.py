@@ -114,10 +114,12 @@ def write(
     )
 
     def archive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, nth, held, size = TaskContext.get().partitionId(), 0, [], 0
+        task, nth, held, size = TaskContext.get(), 0, [], 0
+        # a repeated task writes files of its own; the list below has those of the one that counts
+        name_of = f"{folder}/{task.partitionId():06d}-{{:04d}}-{task.taskAttemptId()}.warc.gz".format
 
         def close() -> pa.RecordBatch:
-            name = f"{folder}/{part:06d}-{nth:04d}.warc.gz"
+            name = name_of(nth)
             write_file(name, held)
             return pa.RecordBatch.from_arrays(
                 [pa.array([name]), pa.array([len(held)], pa.int64()), pa.array([size], pa.int64())],
