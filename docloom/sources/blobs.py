@@ -10,7 +10,10 @@ from pyspark.sql import DataFrame
 
 
 def write_file(path: str, parts: list) -> None:
-    """Write a file whole or not at all: under another name first, so that a lost or repeated task leaves no half."""
+    """Write a file whole or not at all: under another name first, so that a lost or repeated task leaves no half.
+
+    A file of that name, as a repeated task finds it, gives way.
+    """
     from pyarrow import fs
 
     system, place = fs.FileSystem.from_uri(path)
@@ -19,6 +22,8 @@ def write_file(path: str, parts: list) -> None:
     with system.open_output_stream(half) as out:
         for part in parts:
             out.write(part)
+    if system.get_file_info(place).type != fs.FileType.NotFound:
+        system.delete_file(place)
     system.move(half, place)
 
 
