@@ -133,7 +133,8 @@ def _zip(values: Column, parent: Column, n: Column) -> Column:
 
 
 def _literal(values) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])
+    """Numbers as one constant, however many they are."""
+    return F.split(F.lit(",".join(repr(float(v)) for v in values)), ",").cast("array<double>")
 
 
 def _softmax(scores: Column) -> Column:
@@ -166,6 +167,7 @@ def identify(
     """
     none = F.lit(None).cast("string")
     languages, kinds = model.languages, range(len(model.languages))
+    names = F.array(*map(F.lit, languages))
 
     @F.arrow_udf(T.ArrayType(T.DoubleType(), False))
     def text_evidence(texts: pa.Array) -> pa.Array:
@@ -175,7 +177,8 @@ def identify(
 
     said = first_part(declared if declared is not None else none)
     known = F.when(said.isNull() | (said == ""), None).otherwise(
-        F.coalesce(*[F.when(said == language, i) for i, language in enumerate(languages)], F.lit(len(languages)))
+        # the place among the languages, or one beyond them
+        F.coalesce(F.nullif(F.array_position(names, said), F.lit(0)) - 1, F.lit(len(languages)))
     )
     evidence = [(c if c is not None else none).alias(n) for n, c in (("_suffix", suffix), ("_host", host), ("_domain", domain))]
     text = F.col(text_col)
@@ -206,9 +209,9 @@ def identify(
             matrix[d] = np.array([r[f"s{i}"] for i in kinds]) / 1000.0
             with_declaration += matrix[d]
     spoken = (matrix + SMOOTH) / (with_declaration + SMOOTH * (len(languages) + 1))
-    table = F.array(*[_literal(row) for row in np.log(spoken)])
     neutral = _literal(np.zeros(len(languages)))
-    declared_score = F.coalesce(F.get(table, F.col("_declared")), neutral)
+    row = F.slice(_literal(np.log(spoken).ravel()), F.col("_declared") * len(languages) + 1, len(languages))
+    declared_score = F.coalesce(row, neutral)
 
     suffixes = rows.where(F.col("_suffix").isNotNull()).groupBy("_suffix").agg(n, *sums)
     with_suffix = suffixes.agg(F.sum("n").alias("n"), *[F.sum(f"s{i}").alias(f"s{i}") for i in kinds]).first()
@@ -247,7 +250,6 @@ def identify(
         prior.alias("p"),
     )
     scores = F.transform(parts, lambda x: x["t"] + x["d"] + x["s"] + F.log(x["p"]))
-    names = F.array(*map(F.lit, languages))
 
     def best(values: Column) -> Column:
         return F.get(names, (F.array_position(values, F.array_max(values)) - 1).cast("int"))
