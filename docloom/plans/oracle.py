@@ -155,8 +155,7 @@ STATE = f"""WITH {MESSAGES},
     FROM msg JOIN mx USING (conv_id) GROUP BY conv_id)"""
 
 REWRITE = fill(chat.REWRITE, history="chat_history", question="question")
-ECHO = "'Reply: ' || {}"
-QUERY_TEXT = f"CASE WHEN n_messages > 1 THEN {ECHO.format(REWRITE)} ELSE question END"
+QUERY_TEXT = f"CASE WHEN n_messages > 1 THEN question || ' ' || md5({REWRITE}) ELSE question END"
 
 USER = fill(chat.USER_WITH_CONTEXT, context="coalesce(context, '')", question="question")
 
