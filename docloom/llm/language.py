@@ -12,8 +12,8 @@ document so that sums do not depend on their order; a document's own share is ta
 host's. Only the multinomials are fitted on a bounded sample of labelled rows. The language ``und``
 has a uniform multinomial and wins where no known language explains a text.
 
-A document is kept if its text has a letter, its language is not ``und`` and
-the language's probability reaches ``least``. Null and empty texts have no letter. Missing
+A document is kept if its text has a letter and the known languages together reach a probability of
+``least``; doubt between two of them is no reason to drop it. Null and empty texts have no letter. Missing
 evidence (null declaration, suffix, host) is neutral. Every row gives a row; only the named columns are read.
 An empty table, or one without labels, gives no languages but ``und``.
 """
@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from docloom.llm import vocab
 from docloom.llm.filtering import stay
 from docloom.llm.storage import keep
-from docloom.llm.words import code_points, slices
+from docloom.llm.words import NUMBER, OTHER, classes, code_points, slices
 from docloom.session import broadcast_if_small
 
 #: Labelled rows that the multinomials are fitted on, at most.
@@ -59,7 +59,11 @@ class Model:
 
 
 def triples(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket of every letter triple, where each text's begin); texts are lower-cased, a blank on either side."""
+    """(bucket of every letter triple, where each text's begin); texts are lower-cased, a blank on either side.
+
+    Triples of anything but letters and white space are no evidence: numbers, addresses and
+    symbols belong to no language. They share the last bucket.
+    """
     points, starts = code_points([f" {t.lower()} " for t in texts])
     wide = points.astype(np.uint32)
     key = wide * np.uint32(0x9E3779B1)
@@ -67,6 +71,11 @@ def triples(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     key[:-2] += wide[2:] * np.uint32(0xC2B2AE3D)
     key ^= key >> np.uint32(15)
     bucket = ((key * np.uint32(0x27D4EB2F)) >> np.uint32(32 - BITS)).astype(np.int32)
+    kind = classes()[points]
+    other = (kind == OTHER) | (kind == NUMBER)
+    other[:-1] |= other[1:]
+    other[:-1] |= other[1:]
+    bucket[other] = 1 << BITS
     ends = starts[1:]
     bucket[ends - 1] = bucket[ends - 2] = 1 << BITS
     return bucket, starts
@@ -254,19 +263,20 @@ def identify(
     def best(values: Column) -> Column:
         return F.get(names, (F.array_position(values, F.array_max(values)) - 1).cast("int"))
 
+    unknown = F.get("_posterior", F.lit(len(languages) - 1))
+    known_ones = F.slice("_posterior", 1, max(1, len(languages) - 1))
+    kept = F.col("_letters") & (1 - unknown >= least) & F.lit(len(languages) > 1)
     return (
         joined.withColumn("_posterior", _softmax(scores))
+        .withColumn("kept", kept)
         .select(
             F.col("_id").alias(id_col),
-            best(F.col("_posterior")).alias("lang"),
-            F.round(F.array_max("_posterior"), 6).alias("probability"),
+            F.when(F.col("kept"), best(known_ones)).otherwise(UNKNOWN).alias("lang"),
+            F.round(F.when(F.col("kept"), F.array_max(known_ones)).otherwise(unknown), 6).alias("probability"),
             best(F.col("_text")).alias("text_lang"),
-            "_letters",
+            "kept",
             "_key",
         )
-        .withColumn("lang", F.when(F.col("_letters"), F.col("lang")).otherwise(UNKNOWN))
-        .withColumn("kept", F.col("_letters") & (F.col("lang") != UNKNOWN) & (F.col("probability") >= least))
-        .select(id_col, "lang", "probability", "text_lang", "kept", "_key")
     )
 
 

@@ -164,9 +164,11 @@ def test_fusion_equals_plain_python(spark, sample):
     got = language.identify(df, model, F.col("declared"), F.col("suffix"), F.col("host"), F.col("domain"))
     found = {r["doc_id"]: r for r in got.collect()}
     for i, p in enumerate(fused(model, rows)):
-        assert found[i]["probability"] == pytest.approx(max(p), abs=2e-6)
+        known = p[:-1] if 1 - p[-1] >= 0.5 else p[-1:]
+        assert found[i]["probability"] == pytest.approx(max(known), abs=2e-6)
+        assert found[i]["kept"] == (len(known) > 1)
         if sorted(p)[-1] - sorted(p)[-2] > 1e-6:
-            assert found[i]["lang"] == model.languages[p.index(max(p))]
+            assert found[i]["lang"] == model.languages[p.index(max(known))]
 
 
 def test_evidence_decides_short_texts(spark, sample):
@@ -187,5 +189,20 @@ def test_language_awkward_rows(awkward):
     assert language.of_documents(awkward.limit(0)).count() == 0
 
 
+def test_numbers_and_addresses_are_no_evidence(spark, sample):
+    model = language.fit(sample, "lang")
+    rows = [
+        (1, "With +1 (807) 555-5623 of qxz.06@mail4.example.com the 39.73.140.133 and.", "en"),
+        (2, "das 4045650754681188 +1 (227) 555-6608 xk.70@mail5.example.com", "de"),
+        (3, "это текст на русском языке и он не подходит", None),
+        (4, "a1 b2 c3", "fr"),
+        (5, "12 34 !!", "fr"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    got = {r["doc_id"]: (r["lang"], r["kept"]) for r in language.identify(df, model, F.col("lang")).collect()}
+    assert got[1] == ("en", True) and got[2][1] and got[4][1]
+    assert got[3] == ("und", False) and got[5] == ("und", False)
+
+
 def test_clean_documents_stay(sample):
     assert language.keep_known(sample).count() == sample.count()
