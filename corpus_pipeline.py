@@ -19,22 +19,26 @@ from pyspark.sql import functions as F
 
 from docloom.llm import exact_dedup, jaccard, language, packing, pii
 from docloom.llm.queries import BYTE_BPE, documents
-from docloom.llm.storage import keep
+from docloom.llm.storage import keep, text_batches
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    text_batches(spark)
     return language.keep_known(docs)
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    text_batches(spark)
     return exact_dedup.keep_one(docs)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    text_batches(spark)
     return jaccard.keep_one(docs)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    text_batches(spark)
     clean = pii.redact(docs)
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -43,6 +47,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, piece, start, length, ids, sequence_id, offset."""
+    text_batches(spark)
     return packing.pack(docs, BYTE_BPE)
 
 

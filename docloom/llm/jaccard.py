@@ -30,6 +30,7 @@ from docloom.llm import shingles, vocab
 from docloom.llm.components import components
 from docloom.llm.filtering import key_of, stay
 from docloom.llm.storage import keep
+from docloom.llm.worker import release
 from docloom.session import broadcast_if_small
 
 THRESHOLD = 0.8
@@ -88,6 +89,7 @@ def signatures(docs: DataFrame, bands: int, rows: int, n: int = shingles.N) -> D
                     [*part.columns[:3], pa.array(digests, pa.binary()), pa.array(size, pa.int64()), lists],
                     names=["_row", "_id", "_key", "_set", "_n", "_bands"],
                 )
+        release()
 
     kind = docs.schema["_id"].dataType.simpleString()
     return docs.mapInArrow(sign, f"_row bigint, _id {kind}, _key bigint, _set binary, _n bigint, _bands array<bigint>")
@@ -288,6 +290,7 @@ def classes(
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(columns, kinds)], names=["_set", "links", "texts", "root"]
                 )
+        release()
 
     met = dealt(routed.join(sets, "_set").select(*KEYS, "band", "block", "_set", "_n", "weight", "_bands", "numbers"))
     found = keep(met.mapInArrow(verify, "_set binary, links bigint, texts bigint, root binary"), "verified")

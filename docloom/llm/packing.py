@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from docloom.llm import vocab
 from docloom.llm.storage import keep
+from docloom.llm.worker import release
 from docloom.llm.words import slices
 
 CAPACITY = 1024
@@ -87,6 +88,7 @@ def pieces(
                     ],
                     names=schema.names,
                 )
+        release()
 
     return docs.select(id_col, text_col).mapInArrow(encode, schema)
 

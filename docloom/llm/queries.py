@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from docloom.llm import bpe, exact_dedup, jaccard, language, packing, pii, quality, token_counts, token_file, warc
 from docloom.functions.text import markup_to_text
+from docloom.llm.storage import text_batches
 from docloom.session import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,13 +25,8 @@ def query(run: Query) -> Query:
     return run
 
 
-ROWS_PER_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
-
-
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A given table. Its rows are long, so that Arrow batches of the default 10,000 would be, too."""
-    if spark.conf.get(ROWS_PER_BATCH) == "10000":
-        spark.conf.set(ROWS_PER_BATCH, "1000")
+    text_batches(spark)
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from docloom.llm import vocab
 from docloom.llm.packing import END, binary_lists
 from docloom.llm.storage import keep
+from docloom.llm.worker import release
 from docloom.llm.words import slices
 from docloom.session import new_folder
 from docloom.sources.blobs import open_file, write_file
@@ -145,6 +146,7 @@ def write(
                     held, tokens, nth = [], 0, nth + 1
         if held:
             yield close()
+        release()
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     order = ["id", F.xxhash64("text")]

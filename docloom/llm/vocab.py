@@ -13,6 +13,9 @@ from docloom.llm.worker import once
 from docloom.llm.words import UNUSUAL, Numbers, distinct_words, ragged
 
 
+WORDS_PER_CALL = 10_000
+
+
 def tokenizer(path: str) -> Tokenizer:
     return once(("tokenizer", path), lambda: Tokenizer.from_file(path))
 
@@ -79,14 +82,16 @@ def gathered(
 
 
 def _byte_ids(path: str):
-    """Ids of words by the library, all in one call."""
+    """Ids of words by the library, many words in a call: it keeps some 200 bytes a token until the call is over."""
 
     def make(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        found = tokenizer(path).encode(
-            [w.decode("utf-8", "replace") for w in words], is_pretokenized=True, add_special_tokens=False
-        )
-        owner = np.asarray(found.word_ids, dtype=np.int64)
-        return np.asarray(found.ids), np.bincount(owner, minlength=len(words))
+        ids, sizes = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+        for at in range(0, len(words), WORDS_PER_CALL):
+            some = [w.decode("utf-8", "replace") for w in words[at : at + WORDS_PER_CALL]]
+            found = tokenizer(path).encode(some, is_pretokenized=True, add_special_tokens=False)
+            ids.append(np.asarray(found.ids, dtype=np.int32))
+            sizes.append(np.bincount(np.asarray(found.word_ids, dtype=np.int64), minlength=len(some)))
+        return np.concatenate(ids), np.concatenate(sizes)
 
     return make
 

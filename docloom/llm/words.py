@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from docloom.llm.worker import once
 
@@ -136,38 +137,31 @@ def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 class Numbers:
-    """A flat list of numbers per word, made for unseen words only and emptied when it grows too large."""
+    """A flat list of numbers per word, made for unseen words only and emptied when it grows too large.
 
-    def __init__(self, make, most: int = 600_000):
+    Words and numbers lie in arrays, some thirty bytes a word.
+    """
+
+    def __init__(self, make, most: int = 1_000_000):
         self.make, self.most = make, most
         self._empty()
 
     def _empty(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.known = pa.array([], pa.binary())
         self.start, self.size, self.flat = np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int32)
-        self.used = 0
 
     def of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(start, size, flat): word i has the numbers flat[start[i] : start[i] + size[i]]."""
-        asked = words.to_pylist()
+        """(start, size, flat): word i has the numbers flat[start[i] : start[i] + size[i]]. Words are distinct."""
         if len(self.known) > self.most:
             self._empty()
-        known = self.known
-        new = [w for w in asked if w not in known]
-        if new:
-            made, size = self.make(new)
-            count, need = len(known), self.used + len(made)
-            if count + len(new) > len(self.start):
-                room = max(2 * count, count + len(new)) - count
-                self.start = np.concatenate([self.start[:count], np.empty(room, np.int64)])
-                self.size = np.concatenate([self.size[:count], np.empty(room, np.int32)])
-            if need > len(self.flat):
-                room = max(2 * self.used, need) - self.used
-                self.flat = np.concatenate([self.flat[: self.used], np.empty(room, np.int32)])
-            self.flat[self.used : need] = made
-            self.start[count : count + len(new)] = self.used + np.cumsum(size) - size
-            self.size[count : count + len(new)] = size
-            known.update(zip(new, range(count, count + len(new))))
-            self.used = need
-        place = np.fromiter(map(known.__getitem__, asked), np.int64, len(asked))
+        found = pc.index_in(words, value_set=self.known)
+        new = words.filter(pc.is_null(found))
+        place = pc.fill_null(found, -1).to_numpy().astype(np.int64)
+        if len(new):
+            made, size = self.make(new.to_pylist())
+            place[place < 0] = len(self.known) + np.arange(len(new))
+            self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
+            self.size = np.concatenate([self.size, size.astype(np.int32)])
+            self.flat = np.concatenate([self.flat, made.astype(np.int32)])
+            self.known = pa.concat_arrays([self.known, new])
         return self.start[place], self.size[place], self.flat

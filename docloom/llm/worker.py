@@ -6,11 +6,14 @@ do not outlive a task there; the interpreter's table of modules does.
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Callable
 from types import ModuleType
 from typing import Any
 
+import pyarrow as pa
+
 NAME = "docloom_worker_state"
 
 
@@ -20,3 +23,12 @@ def once(key: tuple, make: Callable[[], Any]) -> Any:
     if key not in held:
         held[key] = make()
     return held[key]
+
+
+def release() -> None:
+    """Give memory that a task has freed back to the system: workers outlive their tasks, idle ones too."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library keeps its memory
+        return
