@@ -56,15 +56,17 @@ class Merges:
             for final, name in ((False, char), (True, char + suffix)):
                 self.spelled[ids[name]], ends[ids[name]] = bytes([b]), final
                 self.single[final][b] = ids[name]
-        self.pairs: dict[tuple[int, int], tuple[int, int]] = {}
+        self.made: list[int] = []
+        self.rank_by_key: dict[int, int] = {}
         for rank, (first, second) in enumerate(model["merges"]):
             a, b, new = ids[first], ids[second], ids[first + second]
             self.left[new], self.right[new], self.rank[new] = a, b, rank
             self.spelled[new], ends[new] = self.spelled[a] + self.spelled[b], ends[b]
-            self.pairs[a, b] = rank, new
-        keys = np.array([a * self.size + b for a, b in self.pairs])
+            self.rank_by_key[a * self.size + b] = rank
+            self.made.append(new)
+        keys = np.fromiter(self.rank_by_key, np.int64)
         order = np.argsort(keys)
-        self.keys, self.ranks = keys[order], np.array([r for r, _ in self.pairs.values()])[order]
+        self.keys, self.ranks = keys[order], np.fromiter(self.rank_by_key.values(), np.int64)[order]
         self.memo: dict[int, bool] = {}
         self._tables(ends)
 
@@ -78,12 +80,14 @@ class Merges:
             sound[t] &= sound[self.left[t]] and sound[self.right[t]]
         self.middle, self.final = {}, {}
         self.longest: dict[bytes, int] = {}
-        self.longest_end: dict[bytes, int] = {}
+        self.longest_middle: dict[bytes, int] = {}
+        self.longest_final: dict[bytes, int] = {}
         for t in np.flatnonzero(sound):
             if word := self.spelled[t]:
                 (self.final if ends[t] else self.middle)[word] = int(t)
                 self.longest[word[:2]] = max(self.longest.get(word[:2], 1), len(word))
-                self.longest_end[word[-2:]] = max(self.longest_end.get(word[-2:], 1), len(word))
+                by_end = self.longest_final if ends[t] else self.longest_middle
+                by_end[word[-2:]] = max(by_end.get(word[-2:], 1), len(word))
 
     def rank_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The rank of the merge of each pair, ``NEVER`` if there is none."""
@@ -130,7 +134,7 @@ class Merges:
     def _walk(self, a: int, b: int) -> bool:
         used_a = used_b = NEVER
         while True:
-            merged = self.pairs.get((a, b), (NEVER,))[0]
+            merged = self.rank_by_key.get(a * self.size + b, NEVER)
             if merged < used_a and merged <= used_b:
                 return False
             made_a, made_b = int(self.rank[a]), int(self.rank[b])
@@ -158,24 +162,18 @@ class Merges:
         return out
 
     def merge(self, word: bytes) -> list[int]:
-        """The merges in their order, one at a time."""
+        """The merges in their order, one at a time, of equal ones the leftmost first."""
         out = [self.single[False][b] for b in word[:-1]] + [self.single[True][word[-1]]]
-        while len(out) > 1:
-            rank, new, at = min(
-                (*self.pairs.get(pair, (NEVER, -1)), i) for i, pair in enumerate(zip(out, out[1:]))
-            )
-            if new < 0:
-                break
-            first, second = out[at], out[at + 1]
-            merged, i = [], 0
-            while i < len(out):
-                if i + 1 < len(out) and out[i] == first and out[i + 1] == second:
-                    merged.append(new)
-                    i += 2
-                else:
-                    merged.append(out[i])
-                    i += 1
-            out = merged
+        size, rank_of = self.size, self.rank_by_key.get
+        ranks = [rank_of(a * size + b, NEVER) for a, b in zip(out, out[1:])]
+        while ranks and (rank := min(ranks)) < NEVER:
+            at = ranks.index(rank)
+            out[at : at + 2] = [self.made[rank]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank_of(out[at - 1] * size + out[at], NEVER)
+            if at < len(ranks):
+                ranks[at] = rank_of(out[at] * size + out[at + 1], NEVER)
         return out
 
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

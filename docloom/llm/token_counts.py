@@ -39,22 +39,34 @@ class Counter:
         """Bring the lists, true for the first ``same`` bytes, up to ``word``.
 
         At byte j: the last token and the number of tokens of what may go on,
-        and the number of tokens if the word ends there.
+        and the number of tokens if the word ends there. Of the tokens that end at a byte exactly one
+        fits what is before it.
         """
-        model = self.model
         del last[same + 1 :], count[same + 1 :], whole[same + 1 :]
         for j in range(same + 1, len(word) + 1):
-            limit = min(j, model.longest_end.get(word[j - 2 : j] if j > 1 else word[:1], 1))
-            for table, ends in ((model.middle, False), (model.final, True)):
-                for size in range(limit, 0, -1):
-                    token = table.get(word[j - size : j])
-                    if token is not None and (size == j or model.fits(last[j - size], token)):
-                        break
-                if ends:
-                    whole.append(count[j - size] + 1)
-                else:
-                    last.append(token)
-                    count.append(count[j - size] + 1)
+            token, size = self.ending(word, j, last, self.model.middle, self.model.longest_middle)
+            _, final = self.ending(word, j, last, self.model.final, self.model.longest_final)
+            whole.append(count[j - final] + 1)
+            last.append(token)
+            count.append(count[j - size] + 1)
+
+    def ending(
+        self, word: bytes, j: int, last: list[int], table: dict[bytes, int], longest: dict[bytes, int]
+    ) -> tuple[int, int]:
+        """(token, its bytes): the one of ``table`` that ends at byte j and fits."""
+        model = self.model
+        known, many, get = model.memo, model.size, table.get
+        for size in range(min(j, longest.get(word[j - 2 : j] if j > 1 else word[:1], 1)), 0, -1):
+            token = get(word[j - size : j])
+            if token is not None:
+                if size == j:
+                    break
+                fits = known.get(last[j - size] * many + token)
+                if fits is None:
+                    fits = model.fits(last[j - size], token)
+                if fits:
+                    break
+        return token, size
 
     def counts(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(counts at all code points of all words in a row, code points per word); white space counts 0."""
