@@ -54,11 +54,14 @@ SPELLED_PART = re.compile(rf"(?i)plus[\s-]+|{_DIGIT}|[\s-]+")
 BRACKETED = re.compile(r"(?i)\s?[\[({<]\s?(?:(at|@)|(dot|\.))\s?[\])}>]\s?")
 # Common last parts of domains; without one, words around "at" and "dot" are prose.
 ENDINGS = "com org net edu gov mil int info biz name io ai app dev co eu uk us ca au de at ch fr be nl es it pt pl se no dk fi ie jp cn in br mx ru"
+# The at sign or the word for it, a part, and further parts after a dot or the word for it.
 WORDED = re.compile(
-    r"(?i)(?<![\w.%+-])[A-Za-z0-9._%+-]+(\s+at\s+)[A-Za-z0-9-]+"
-    rf"((?:\s+dot\s+[A-Za-z0-9-]+)*\s+dot\s+(?:{'|'.join(ENDINGS.split())}))(?![\w-])"
+    r"(?i)(?:(?<!\s)\s*+(@)\s*+|(?<!\s)\s++(at)\s++)([A-Za-z0-9-]++)((?:(?:\.|\s++dot\s++)[A-Za-z0-9-]++(?!\w))+)"
 )
-WORDED_DOT = re.compile(r"(?i)\s+dot\s+")
+WORDED_DOT = re.compile(r"(?i)(?:\.|\s++(dot)\s++)([A-Za-z0-9-]++)")
+KNOWN = frozenset(ENDINGS.split())
+AT = re.compile(r"\sat\s+[a-z0-9-]+\.[a-z0-9]")
+NAME = re.compile(r"(?i)[a-z][a-z0-9+-]*(?:[._][a-z0-9+-]+)+")
 
 
 def _plain_forms() -> tuple[dict[str, str], np.ndarray]:
@@ -165,12 +168,28 @@ def bracketed(text: str) -> list[tuple[int, int, str]]:
     return [(*m.span(), "@" if m[1] else ".") for m in BRACKETED.finditer(text)]
 
 
-def worded(text: str) -> list[tuple[int, int, str]]:
-    """``name at host dot com``: only where both words stand, since either alone is prose."""
-    edits = []
+def worded(text: str, new: np.ndarray | None = None) -> list[tuple[int, int, str]]:
+    """``name at host dot com``, also with one of the two in signs: only where both stand, since either alone is prose.
+
+    Characters marked in ``new`` were disguised themselves, so that a dot among them counts as a word. After the word
+    "at", plain dots need a name that is none of prose, such as ``jane.doe``.
+    """
+    edits, seen = [], 0
     for m in WORDED.finditer(text):
-        edits.append((*m.span(1), "@"))
-        edits += [(*d.span(), ".") for d in WORDED_DOT.finditer(text, *m.span(2))]
+        start = m.start()
+        while start > seen and text[start - 1] in LOCAL:
+            start -= 1
+        local, dots = text[start : m.start()], list(WORDED_DOT.finditer(text, *m.span(4)))
+        while dots and dots[-1][2].lower() not in KNOWN:
+            dots.pop()
+        hidden = any(d[1] or (new is not None and new[d.start()]) for d in dots)
+        if not local or not dots or not (hidden or (m[2] and NAME.fullmatch(local))):
+            continue
+        first, last = m.start(), m.start(3)
+        if m[2] or last - first > 1:
+            edits.append((first, last, "@"))
+        edits += [(d.start(), d.start(2), ".") for d in dots if d[1]]
+        seen = dots[-1].end()
     return edits
 
 
@@ -179,6 +198,12 @@ def may_spell(lower: str) -> bool:
     return any(word in lower for word in DIGITS) and bool(FOLLOWING.search(lower))
 
 
+def may_word(text: str) -> bool:
+    """Whether a word for the dot, or for the at sign, is in ``text``."""
+    lower = text.lower()
+    return "dot" in lower or bool(AT.search(lower))
+
+
 def disguised(text: str, base: list[Span]) -> list[Span]:
     """What the rewritten text shows beyond ``base``, in places of the source."""
     rewritten = None
@@ -186,7 +211,7 @@ def disguised(text: str, base: list[Span]) -> list[Span]:
         (lambda t: not t.isascii(), look_alikes),
         (lambda t: may_spell(t.lower()), spelled_digits),
         (lambda t: any(c in t for c in "[({<"), bracketed),
-        (lambda t: "dot" in t.lower(), worded),
+        (may_word, lambda t: worded(t, rewritten.new if rewritten else None)),
     ):
         now = rewritten.text if rewritten else text
         if needed(now) and (edits := transduce(now)):

@@ -52,6 +52,12 @@ def test_plain_spans_are_the_patterns(texts):
         ("card ４１１１ １１１１ １１１１ １１１１.", "card", "４１１１ １１１１ １１１１ １１１１"),
         ("card Four-one-one-one " + "one " * 11 + "one", "card", "Four-one-one-one " + "one " * 11 + "one"),
         ("at 10.0.0​.1 there", "ip", "10.0.0​.1"),
+        ("to jane [at] example dot com", "email", "jane [at] example dot com"),
+        ("to jane (at) example dot co dot uk", "email", "jane (at) example dot co dot uk"),
+        ("to jane at example [dot] com", "email", "jane at example [dot] com"),
+        ("to jane@example dot com", "email", "jane@example dot com"),
+        ("to jane at mail.example dot com", "email", "jane at mail.example dot com"),
+        ("to jane.doe at example.com", "email", "jane.doe at example.com"),
     ],
 )
 def test_disguises(text, kind, part):
@@ -69,6 +75,11 @@ def test_prose_is_left_alone(text):
     assert pii.spans_of(text) == ([], [])
 
 
+@pytest.mark.parametrize("text", ["buy it at example.com", "we sat at dot com", "x at y.z"])
+def test_half_a_disguise_is_prose(text):
+    assert pii.spans_of(text) == ([], [])
+
+
 def test_documents_gain_nothing(texts):
     assert all(not pii.spans_of(t)[1] for t in texts.values() if not pii.found_in(t))
 
