@@ -2,7 +2,7 @@
 
 Plain e-mail addresses, IP addresses, card and telephone numbers are found in the text as it is.
 Then transducers rewrite what disguises them - look-alike characters, invisible ones,
-spelled digits, words for the at sign and the dot - and note for every character of the
+spelled digits, also among numerals, words for the at sign and the dot - and note for every character of the
 result which characters of the source it came from. What the same finders find in the
 rewritten text is mapped back. Spans of the plain text all stay.
 
@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from copy import copy
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +52,11 @@ _DIGIT = "(?:" + "|".join(DIGITS) + ")"
 SPELLED = re.compile(rf"(?i)\b(?:plus[\s-]+(?={_DIGIT}\b))?{_DIGIT}(?:[\s-]+{_DIGIT})+\b")
 FOLLOWING = re.compile(rf"[\s-]{_DIGIT}\b")
 SPELLED_PART = re.compile(rf"(?i)plus[\s-]+|{_DIGIT}|[\s-]+")
+# Numerals and digits as words in a row: gaps, dots and the word for the dot are between them.
+_ATOM = rf"(?<!\w)(?:[0-9]++|{_DIGIT})(?!\w)"
+MIXED = re.compile(rf"(?i)(?:(?<!\w)plus[\s-]++)?{_ATOM}(?:(?:\s++dot\s++|[\s().-]++){_ATOM})+")
+MIXED_PART = re.compile(rf"(?i)(plus)[\s-]+|([0-9]+)|({_DIGIT})|(\s+dot\s+)|([\s-]+(?![\s().-]))|[\s().-]+")
+LETTER = re.compile(r"[A-Za-z]")
 BRACKETED = re.compile(r"(?i)\s?[\[({<]\s?(?:(at|@)|(dot|\.))\s?[\])}>]\s?")
 # Common last parts of domains; without one, words around "at" and "dot" are prose.
 ENDINGS = "com org net edu gov mil int info biz name io ai app dev co eu uk us ca au de at ch fr be nl es it pt pl se no dk fi ie jp cn in br mx ru"
@@ -164,6 +170,31 @@ def spelled_digits(text: str) -> list[tuple[int, int, str]]:
     return edits
 
 
+def mixed_digits(text: str) -> list[tuple[int, int, str]]:
+    """Digits as words beside numerals or dots, too, and the word for the dot between digits; the gaps beside words go.
+
+    A worded plus counts before a digit as a word or a worded dot, and before a country code and two groups more.
+    """
+    edits = []
+    for m in MIXED.finditer(text):
+        if not LETTER.search(m[0]):
+            continue
+        parts = list(MIXED_PART.finditer(text, *m.span()))
+        country = len(parts) > 5 and len(parts[1][0]) <= 3 and not text[max(0, m.start() - 2) : m.start()].strip().isdigit()
+        if not country and not any(p[3] or p[4] for p in parts):
+            continue
+        for i, p in enumerate(parts):
+            if p[1]:
+                edits.append((*p.span(), "+"))
+            elif p[3]:
+                edits.append((*p.span(), str(DIGITS.index(p[3].lower()))))
+            elif p[4]:
+                edits.append((*p.span(), "."))
+            elif p[5] and (parts[i - 1][3] or parts[i + 1][3]):
+                edits.append((*p.span(), ""))
+    return edits
+
+
 def bracketed(text: str) -> list[tuple[int, int, str]]:
     return [(*m.span(), "@" if m[1] else ".") for m in BRACKETED.finditer(text)]
 
@@ -204,28 +235,53 @@ def may_word(text: str) -> bool:
     return "dot" in lower or bool(AT.search(lower))
 
 
-def disguised(text: str, base: list[Span]) -> list[Span]:
-    """What the rewritten text shows beyond ``base``, in places of the source."""
-    rewritten = None
-    for needed, transduce in (
-        (lambda t: not t.isascii(), look_alikes),
-        (lambda t: may_spell(t.lower()), spelled_digits),
-        (lambda t: any(c in t for c in "[({<"), bracketed),
-        (may_word, lambda t: worded(t, rewritten.new if rewritten else None)),
-    ):
-        now = rewritten.text if rewritten else text
+def may_mix(lower: str) -> bool:
+    return any(word in lower for word in (*DIGITS, "dot", "plus")) and any(LETTER.search(m[0]) for m in MIXED.finditer(lower))
+
+
+ALIKE = (lambda t: not t.isascii(), look_alikes)
+SPELLING = (lambda t: may_spell(t.lower()), spelled_digits)
+BRACKETS = (lambda t: any(c in t for c in "[({<"), bracketed)
+MIXING = (lambda t: True, mixed_digits)
+
+
+def rewriting(text: str, done: Rewritten | None, *steps: tuple) -> Rewritten | None:
+    """``text``, or the rewriting ``done`` of it, after the steps whose test it passes; None if that is ``text`` itself."""
+    done = copy(done)
+    for needed, transduce in steps:
+        now = done.text if done else text
         if needed(now) and (edits := transduce(now)):
-            rewritten = rewritten or Rewritten(text)
-            rewritten.replace(edits)
-    if not rewritten:
-        return []
-    # a search that changed characters cannot touch, finds what is known
+            done = done or Rewritten(text)
+            done.replace(edits)
+    return done
+
+
+def disguised(text: str, base: list[Span]) -> list[Span]:
+    """What rewritten texts show beyond ``base``, in places of the source.
+
+    Rows of digits as words are rewritten by themselves and, in a second text, together with numerals and dots
+    beside them. Both count, since a word beside a number may be none of its digits; addresses that the first
+    text shows are complete.
+    """
+    alike = rewriting(text, None, ALIKE)
+    texts = [rewriting(text, alike, SPELLING, BRACKETS)]
+    unbracketed = rewriting(text, alike, BRACKETS)
+    if may_mix((unbracketed.text if unbracketed else text).lower()):
+        texts.append(rewriting(text, unbracketed, MIXING))
     spans = []
-    for kind, start, end in found_in(rewritten.text):
-        first, last = int(rewritten.first[start]), int(rewritten.last[end - 1])
-        changed = rewritten.new[start:end].any() or last - first != end - start
-        if changed and not any(k == kind and a <= first and last <= b for k, a, b in base):
-            spans.append((kind, first, last))
+    for nth, done in enumerate(texts):
+        done = rewriting(text, done, (may_word, lambda t: worded(t, done.new if done else None)))
+        if not done:
+            continue
+        known, whole = [*base, *spans], ("email", "ip") if nth else ()
+        # a search that changed characters cannot touch, finds what is known
+        for kind, start, end in found_in(done.text):
+            first, last = int(done.first[start]), int(done.last[end - 1])
+            changed = done.new[start:end].any() or last - first != end - start
+            if changed and not any(
+                k == kind and (a <= first and last <= b or kind in whole and a < last and first < b) for k, a, b in known
+            ):
+                spans.append((kind, first, last))
     return spans
 
 

@@ -80,6 +80,43 @@ def test_half_a_disguise_is_prose(text):
     assert pii.spans_of(text) == ([], [])
 
 
+@pytest.mark.parametrize(
+    "text, kind, part",
+    [
+        ("at 192 dot 168 dot 0 dot 1 there", "ip", "192 dot 168 dot 0 dot 1"),
+        ("at one nine two dot one six eight dot zero dot one there", "ip", "one nine two dot one six eight dot zero dot one"),
+        ("at one nine two [dot] one six eight [dot] zero [dot] one", "ip", "one nine two [dot] one six eight [dot] zero [dot] one"),
+        ("at 10.zero.0.one", "ip", "10.zero.0.one"),
+        ("call plus 4 four 2 zero 79 four 6 zero 958", "phone", "plus 4 four 2 zero 79 four 6 zero 958"),
+        ("call plus 44 20 7946 0958", "phone", "plus 44 20 7946 0958"),
+        ("call +44 2 zero 7946 zero 958", "phone", "+44 2 zero 7946 zero 958"),
+        ("card 4 one 11 1111 one 111 11 one 1", "card", "4 one 11 1111 one 111 11 one 1"),
+        ("card ４ one 11 1111 one 111 11 one 1", "card", "４ one 11 1111 one 111 11 one 1"),
+        ("card ４１１１ １１１１ １１１１ １１１１ two times", "card", "４１１１ １１１１ １１１１ １１１１"),
+    ],
+)
+def test_digits_among_numerals(text, kind, part):
+    base, more = pii.spans_of(text)
+    start = text.index(part)
+    assert (kind, start, start + len(part)) in more
+    assert part not in pii.redacted(text, base + more)
+
+
+@pytest.mark.parametrize("text", ["in 2020 one of 12 people", "page 3 dot 4, two or 5", "a bonus plus 12000000 dollars", "3 plus 44 20 7946 0958"])
+def test_numbers_in_prose_are_left_alone(text):
+    assert pii.spans_of(text) == ([], [])
+
+
+def test_words_beside_whole_addresses_are_not_theirs():
+    for text, span in (("room 4 two@example.com", ("email", 7, 22)), ("10.0.0.1 two hosts", ("ip", 0, 8))):
+        assert pii.spans_of(text) == ([span], [])
+
+
+def test_long_mixed_runs_end():
+    for text in ("1 " * 100_000 + "one", "one " * 50_000, "1 dot " * 30_000, "one" + " " * 200_000 + "dot", "one (" * 30_000, "a@b dot " * 30_000):
+        pii.spans_of(text)
+
+
 def test_documents_gain_nothing(texts):
     assert all(not pii.spans_of(t)[1] for t in texts.values() if not pii.found_in(t))
 
