@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docloom.llm.endings import ENDINGS
 from docloom.llm.worker import once
 
 KINDS = ("email", "ip", "card", "phone")
@@ -58,14 +59,17 @@ MIXED = re.compile(rf"(?i)(?:(?<!\w)plus[\s-]++)?{_ATOM}(?:(?:\s++dot\s++|[\s().
 MIXED_PART = re.compile(rf"(?i)(plus)[\s-]+|([0-9]+)|({_DIGIT})|(\s+dot\s+)|([\s-]+(?![\s().-]))|[\s().-]+")
 LETTER = re.compile(r"[A-Za-z]")
 BRACKETED = re.compile(r"(?i)\s?[\[({<]\s?(?:(at|@)|(dot|\.))\s?[\])}>]\s?")
-# Common last parts of domains; without one, words around "at" and "dot" are prose.
-ENDINGS = "com org net edu gov mil int info biz name io ai app dev co eu uk us ca au de at ch fr be nl es it pt pl se no dk fi ie jp cn in br mx ru"
 # The at sign or the word for it, a part, and further parts after a dot or the word for it.
 WORDED = re.compile(
     r"(?i)(?:(?<!\s)\s*+(@)\s*+|(?<!\s)\s++(at)\s++)([A-Za-z0-9-]++)((?:(?:\.|\s++dot\s++)[A-Za-z0-9-]++(?!\w))+)"
 )
 WORDED_DOT = re.compile(r"(?i)(?:\.|\s++(dot)\s++)([A-Za-z0-9-]++)")
+# All last parts of domains, those that count after any word, and words that others do not follow in prose.
 KNOWN = frozenset(ENDINGS.split())
+COMMON = frozenset("com org net edu gov mil int info biz name io ai app dev co eu uk us ca au de at ch fr be nl es it pt pl se no dk fi ie jp cn in br mx ru".split())
+PROSE = frozenset("a an the this that these those each every any some no my your his her its our their dot".split())
+ENDING = re.compile(r"(?i)[a-z]{2,63}|xn--[a-z0-9-]+")
+MARKED = re.compile(r"[0-9._]")
 AT = re.compile(r"\sat\s+[a-z0-9-]+\.[a-z0-9]")
 NAME = re.compile(r"(?i)[a-z][a-z0-9+-]*(?:[._][a-z0-9+-]+)+")
 
@@ -211,9 +215,13 @@ def worded(text: str, new: np.ndarray | None = None) -> list[tuple[int, int, str
         while start > seen and text[start - 1] in LOCAL:
             start -= 1
         local, dots = text[start : m.start()], list(WORDED_DOT.finditer(text, *m.span(4)))
-        while dots and dots[-1][2].lower() not in KNOWN:
-            dots.pop()
-        hidden = any(d[1] or (new is not None and new[d.start()]) for d in dots)
+        known = KNOWN if m[1] or m[3].lower() not in PROSE else COMMON
+        ends = [i for i, d in enumerate(dots, 1) if d[2].lower() in known]
+        signs = new is not None and any(new[d.start()] for d in dots)
+        # an ending on no list needs an at sign, a dot in signs, two as words, or a name that is no word
+        evident = m[1] or signs or (known is KNOWN and (sum(bool(d[1]) for d in dots) > 1 or MARKED.search(local)))
+        dots = dots[: ends[-1]] if ends else dots if evident and ENDING.fullmatch(dots[-1][2]) else []
+        hidden = any(d[1] or (signs and new[d.start()]) for d in dots)
         if not local or not dots or not (hidden or (m[2] and NAME.fullmatch(local))):
             continue
         first, last = m.start(), m.start(3)

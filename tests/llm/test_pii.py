@@ -75,6 +75,20 @@ def test_prose_is_left_alone(text):
     assert pii.spans_of(text) == ([], [])
 
 
+@pytest.mark.parametrize(
+    "part",
+    [f"jane at firm dot {x}" for x in "nz za kr gr tv me cz online museum xn--p1ai".split()]
+    + ["jane at mail dot firm dot lan", "jane_7 at firm dot lan", "jane (at) firm dot lan", "jane@firm dot lan", "jane at firm [dot] lan", "jane at firm dot com"],
+)
+def test_endings(part):
+    assert pii.spans_of(f"to {part}, please")[1] == [("email", 3, 3 + len(part))]
+
+
+@pytest.mark.parametrize("text", ["look at the dot me and you see", "stare at a dot and dot the i", "jane at firm dot lan", "it is at this dot now"])
+def test_endings_of_prose(text):
+    assert pii.spans_of(text) == ([], [])
+
+
 @pytest.mark.parametrize("text", ["buy it at example.com", "we sat at dot com", "x at y.z"])
 def test_half_a_disguise_is_prose(text):
     assert pii.spans_of(text) == ([], [])
