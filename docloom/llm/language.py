@@ -9,7 +9,7 @@ Four kinds of evidence meet in a sum of logarithms per language:
 
 All counts are grouped aggregations of what the text alone says, in whole thousandths of a
 document so that sums do not depend on their order; a document's own share is taken out of its
-host's. Only the multinomials are fitted on a bounded sample of labelled rows. The language ``und``
+host's. Every label is a language; only the multinomials are fitted on a bounded sample of labelled rows. The language ``und``
 has a uniform multinomial and wins where no known language explains a text.
 
 A document is kept if its text has a letter and the known languages together reach a probability of
@@ -35,10 +35,9 @@ from docloom.llm.storage import keep
 from docloom.llm.words import NUMBER, OTHER, classes, code_points, slices
 from docloom.session import broadcast_if_small
 
-#: Labelled rows that the multinomials are fitted on, at most.
+#: Labelled rows that the multinomials are fitted on, at most; but up to ``LABEL_ROWS`` of every label.
 TRAIN_ROWS = 20_000
-#: The labels that are most frequent in the sample count as languages.
-LABELS = 200
+LABEL_ROWS = 100
 BITS = 14
 SMOOTH = 0.5
 TEXT_WEIGHT = 0.1
@@ -81,27 +80,43 @@ def triples(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return bucket, starts
 
 
-def sampled(docs: DataFrame, id_col: str, rows: int) -> DataFrame:
-    """An even share of ``docs`` by a hash of the id, of about ``rows`` rows."""
-    share = min(1.0, rows / max(1, docs.count()))
-    return docs.where(F.pmod(F.xxhash64(id_col), F.lit(HASHES)) < int(share * HASHES))
+def rows_per_label(counts: list[int], rows: int, least: int = LABEL_ROWS) -> float:
+    """How many rows of each label make ``rows`` together, where rarer labels give all they have; ``least`` or more."""
+    left, at_most = rows, float(max([least, *counts]))
+    for nth, n in enumerate(sorted(counts)):
+        at_most = left / (len(counts) - nth)
+        if n > at_most:
+            return max(at_most, least)
+        left -= n
+    return float(max([least, *counts]))
 
 
 def fit(
     docs: DataFrame, label_col: str, rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text"
 ) -> Model:
-    """Multinomials of the ``LABELS`` most frequent labels in a sample of about ``rows`` labelled rows."""
+    """Multinomials of all labels, in a sample of about ``rows`` labelled rows.
+
+    Labels are counted over all rows, and each gives an even share of its own, by a hash of the id: rare ones all rows.
+    """
     labelled = docs.select(
         F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(text_col).alias("text")
     ).where(F.col("label").isNotNull() & F.col("text").isNotNull())
-    sample = sampled(labelled, "id", rows).select("label", "text")
-    often = sample.groupBy("label").count().orderBy(F.col("count").desc(), "label").limit(LABELS)
-    languages = sorted(r["label"] for r in often.collect())
+    counts_of = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
+    languages, most = sorted(counts_of), rows_per_label(list(counts_of.values()), rows)
+    shares = docs.sparkSession.createDataFrame(
+        [(x, i, int(min(1.0, most / counts_of[x]) * HASHES)) for i, x in enumerate(languages)],
+        "label string, language int, below bigint",
+    )
+    sample = (
+        labelled.join(F.broadcast(shares), "label")
+        .where(F.pmod(F.xxhash64("id"), F.lit(HASHES)) < F.col("below"))
+        .select("language", "text")
+    )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((len(languages), (1 << BITS) + 1), np.int64)
         for batch in batches:
-            labels = np.array([languages.index(x) for x in batch.column(0).to_pylist()])
+            labels = batch.column(0).to_numpy()
             texts = vocab.texts_of(batch.column(1))
             for a, b in slices(np.fromiter(map(len, texts), np.int64, len(texts))):
                 bucket, starts = triples(texts[a:b])
@@ -115,9 +130,9 @@ def fit(
 
     counts = np.zeros((len(languages) + 1, 1 << BITS))
     if languages:
-        found = sample.where(F.col("label").isin(languages)).mapInArrow(count, "language bigint, bucket bigint, n bigint")
-        for r in found.groupBy("language", "bucket").agg(F.sum("n").alias("n")).collect():
-            counts[r["language"], r["bucket"]] = r["n"]
+        found = sample.mapInArrow(count, "language bigint, bucket bigint, n bigint")
+        sums = found.groupBy("language", "bucket").agg(F.sum("n").alias("n")).toArrow()
+        counts[sums["language"].to_numpy(), sums["bucket"].to_numpy()] = sums["n"].to_numpy()
     counts += SMOOTH
     weights = np.log(counts / counts.sum(axis=1, keepdims=True))
     return Model([*languages, UNKNOWN], np.append(weights, np.zeros((len(weights), 1)), axis=1))

@@ -204,5 +204,27 @@ def test_numbers_and_addresses_are_no_evidence(spark, sample):
     assert got[3] == ("und", False) and got[5] == ("und", False)
 
 
+def test_rare_and_many_labels_are_languages(spark, sample):
+    rare = [(10**6 + i, "это текст на русском языке и он подходит", "ru") for i in range(3)]
+    many = [(2 * 10**6 + i, f"word{'abcdefghij'[i % 10]}", f"x{i:03d}") for i in range(250)]
+    rows = spark.createDataFrame(rare, "doc_id bigint, text string, lang string")
+    often = sample.select("doc_id", "text", "lang").where("lang = 'en'").crossJoin(spark.range(60).withColumnRenamed("id", "n"))
+    often = often.select((F.col("doc_id") * 60 + F.col("n")).alias("doc_id"), "text", "lang")
+    docs = often.unionByName(rows)
+    model = language.fit(docs, "lang", rows=200)
+    assert model.languages == ["en", "ru", "und"]
+    got = language.identify(rows, model, F.col("lang")).collect()
+    assert len(got) == 3 and all(r["lang"] == "ru" and r["kept"] for r in got)
+    model = language.fit(docs.unionByName(spark.createDataFrame(many, docs.schema)), "lang", rows=200)
+    assert len(model.languages) == 253
+
+
+def test_rows_per_label():
+    assert language.rows_per_label([300, 10**6, 5 * 10**6], 20_000) == 9_850
+    assert language.rows_per_label([300, 20], 20_000) == 300
+    assert language.rows_per_label([10**6] * 1000, 20_000) == 100
+    assert language.rows_per_label([], 20_000) == 100
+
+
 def test_clean_documents_stay(sample):
     assert language.keep_known(sample).count() == sample.count()
