@@ -18,6 +18,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docloom.llm.storage import keep
+from docloom.session import broadcast_if_small
+
 WHITE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 5
@@ -25,8 +28,6 @@ BUCKETS = 10_007
 PAIR = 1_000_003
 #: Thousandths of a nat per n-gram.
 THRESHOLD = -80
-#: Trusted rows that are used at most, by the order of a hash of their ids; the bound of a broadcast.
-TRUSTED_ROWS = 200_000
 HASHES = 1 << 30
 
 
@@ -49,9 +50,11 @@ def buckets(buckets: int = BUCKETS) -> Column:
     return F.concat(single, F.zip_with(first, second, lambda a, b: F.pmod(a * PAIR + b, F.lit(buckets))))
 
 
-def trusted_ids(labels: DataFrame, id_col: str = "doc_id", most: int = TRUSTED_ROWS) -> DataFrame:
-    """The ids in ``labels``, all of them up to about ``most`` and then an even share by hash."""
+def trusted_ids(labels: DataFrame, id_col: str = "doc_id", most: int | None = None) -> DataFrame:
+    """The different ids in ``labels``; given ``most``, an even share of about so many by hash where there are more."""
     ids = labels.select(id_col).where(F.col(id_col).isNotNull()).distinct()
+    if most is None:
+        return ids
     share = min(1.0, most / max(1, ids.count()))
     return ids.where(F.pmod(F.xxhash64(id_col), F.lit(HASHES)) < int(share * HASHES))
 
@@ -65,10 +68,11 @@ def weights(
 ) -> list[int]:
     """Thousandths of ln(trusted / raw) per bucket: as many numbers as buckets, whatever the corpus.
 
-    ``trusted`` has distinct ids and bounded size, as ``trusted_ids`` gives them.
+    ``trusted`` has distinct ids, as ``trusted_ids`` gives them; they are broadcast only if they are few.
     """
+    good = keep(trusted.select(F.col(id_col).alias("_id"), F.lit(1).alias("_trusted")), "trusted-ids")
     marked = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(
-        F.broadcast(trusted.select(F.col(id_col).alias("_id"), F.lit(1).alias("_trusted"))), "_id", "left"
+        broadcast_if_small(good), "_id", "left"
     )
     counts = (
         with_hashes(marked, "_text")

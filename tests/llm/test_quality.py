@@ -85,6 +85,15 @@ def test_trusted_ids_are_bounded(spark):
     assert abs(quality.trusted_ids(labels, most=5_000).count() - 5_000) < 500
 
 
+def test_all_trusted_ids_count(spark, sample, monkeypatch):
+    labels = spark.range(300_000).withColumnRenamed("id", "doc_id")
+    assert quality.trusted_ids(labels).count() == 300_000
+    trusted = sample.select("doc_id").where("doc_id % 3 = 0")
+    weights = quality.weights(sample, trusted)
+    monkeypatch.setattr(quality, "broadcast_if_small", lambda df: df.hint("merge"))
+    assert quality.weights(sample, trusted) == weights
+
+
 def test_quality_runs_without_python(sample, spark):
     plan = quality.rated(sample, sample.select("doc_id"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
