@@ -148,6 +148,9 @@ class Damaged(Exception):
 class Plain:
     """Bytes of a file from ``at`` on."""
 
+    #: Whether a check of its own vouches for all that is read.
+    vouched = False
+
     def __init__(self, file, at: int, size: int):
         self.file, self.at, self.size = file, at, size
         self.held = b""
@@ -167,14 +170,22 @@ class Plain:
         return self.at - len(self.held)
 
     def until(self, mark: bytes, most: int) -> bytes:
-        """Everything up to and with ``mark``."""
-        seen = 0
-        while (found := self.held.find(mark, seen)) < 0:
-            seen = max(0, len(self.held) - len(mark) + 1)
-            if len(self.held) > most or not self.more():
+        """Everything up to and with ``mark``; beyond ``most`` bytes only in a member that begins with a version line."""
+        parts, have = [], 0
+        while (found := self.held.find(mark)) < 0:
+            if most and have + len(self.held) > most:
+                if not (self.vouched and VERSIONS.match(b"".join([*parts, self.held[: len(VERSION)]]))):
+                    raise Damaged("headers do not end")
+                most = 0
+            cut = max(0, len(self.held) - len(mark) + 1)
+            parts.append(self.held[:cut])
+            have += cut
+            self.held = self.held[cut:]
+            if not self.more():
                 raise Damaged("headers do not end")
-        out, self.held = self.held[: found + len(mark)], self.held[found + len(mark) :]
-        return out
+        parts.append(self.held[: found + len(mark)])
+        self.held = self.held[found + len(mark) :]
+        return b"".join(parts)
 
     def take(self, n: int) -> bytes:
         parts, have = [self.held], len(self.held)
@@ -195,6 +206,8 @@ class Plain:
 class Inflated(Plain):
     """The content of the gzip member at ``at``; ``at`` moves on through the file."""
 
+    vouched = True
+
     def __init__(self, file, at: int, size: int):
         super().__init__(file, at, size)
         self.inflate = zlib.decompressobj(31)

@@ -113,3 +113,10 @@ def test_repeated_page_ids_are_all_responses(spark):
     df = spark.createDataFrame([(2, "u", "a"), (2, "u", "a"), (1, "u", "a")], "page_id bigint, url string, html string")
     got = sorted((r["page_id"], r["record_type"]) for r in warc.pages_of(warc.read(warc.write(df))).collect())
     assert got == [(1, "revisit"), (2, "response"), (2, "response")]
+
+
+def test_headers_of_any_length(spark):
+    url = "http://a.example/" + "x" * (2 * 1024 * 1024)
+    pages = spark.createDataFrame([(1, url, "<p>a</p>"), (2, "http://b.example/", "<p>b</p>")], "page_id bigint, url string, html string")
+    rows = warc.read(warc.write(pages)).collect()
+    assert all(r["reason"] is None for r in rows) and {r["uri"] for r in rows} == {url, "http://b.example/"}
