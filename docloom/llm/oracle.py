@@ -112,9 +112,83 @@ EXACT = r"""
            text_sha256
     FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id)"""
 
+#: Every window by its words; no anchors.
+REPEATS = r"""
+    WITH doc AS (
+      SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+      FROM documents),
+    place AS (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM doc WHERE len(words) >= 50),
+    win AS (SELECT doc_id, i, array_to_string(words[i:i + 49], ' ') AS w FROM place),
+    least AS (SELECT w, min(doc_id) AS least FROM win GROUP BY w HAVING count(DISTINCT doc_id) > 1),
+    gone AS (
+      SELECT DISTINCT doc_id, i + k AS i FROM win JOIN least USING (w), range(50) r(k) WHERE doc_id > least),
+    word AS (SELECT doc_id, unnest(words) AS w, unnest(range(1, len(words) + 1)) AS i FROM doc),
+    left_over AS (
+      SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS kept, count(*) AS n
+      FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+    SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM doc LEFT JOIN left_over USING (doc_id)"""
+
+#: All phrases are counted at once; no shards.
+COLLOCATIONS = r"""
+    WITH piece AS (
+      SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[.,;:!?\x0A-\x0D]')) AS p
+      FROM documents),
+    words AS (
+      SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda w: w <> '') AS w FROM piece),
+    f AS MATERIALIZED (
+      SELECT lang, k, phrase, count(*) AS f FROM (
+        SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+        FROM words, range(1, 5) r(k) WHERE len(w) >= k)
+      GROUP BY ALL),
+    total AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+    part AS MATERIALIZED (SELECT lang || chr(31) || phrase AS name, f FROM f WHERE f >= 30),
+    candidate AS MATERIALIZED (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS s FROM f WHERE f >= 30 AND k > 1),
+    cut AS (
+      SELECT c.lang, c.phrase, c.k, c.a, j, h.f AS l, t.f AS r, ((2000000::HUGEINT * c.a) // (h.f + t.f))::BIGINT AS score
+      FROM candidate c JOIN range(1, 4) x(j) ON j < c.k
+      JOIN part h ON h.name = c.lang || chr(31) || array_to_string(s[1:j], ' ')
+      JOIN part t ON t.name = c.lang || chr(31) || array_to_string(s[j + 1:], ' ')
+      QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, j) = 1),
+    inside AS (
+      SELECT lang, array_to_string(s[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+      FROM candidate, range(2, 4) y(m), range(1, 4) z(i) WHERE m < k AND i + m - 1 <= k GROUP BY ALL)
+    SELECT lang, rank, phrase, a, l, r, n, score FROM (
+      SELECT cut.lang, row_number() OVER (PARTITION BY cut.lang ORDER BY score DESC, a DESC, cut.phrase) AS rank,
+             cut.phrase, a, l, r, score
+      FROM cut LEFT JOIN inside ON inside.lang = cut.lang AND inside.phrase = cut.phrase
+      WHERE longer IS NULL OR 100 * longer < 80 * a)
+    JOIN total USING (lang) WHERE rank <= 2000"""
+
+#: Products of whole numbers this small are exact as doubles.
+NEGATIVES = r"""
+    WITH v AS (
+      SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    product AS (
+      SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, list_inner_product(a.e, r.e)::BIGINT AS score
+      FROM v a JOIN v r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+    positive AS (
+      SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM product WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT anchor_id, positive_id,
+           row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+           vec_id AS negative_id, positive_score, score AS negative_score
+    FROM positive JOIN product USING (anchor_id)
+    WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 10"""
+
 ORACLE = {
     "op2_quality_rules": QUALITY,
     "op4_warc_salvage": WARC,
     "op7_ngram_jaccard": JACCARD,
     "op10_exact_dedup": EXACT,
+    "op11_substring_dedup": REPEATS,
+    "op12_collocations": COLLOCATIONS,
+    "op13_hard_negatives": NEGATIVES,
 }

@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import bpe, exact_dedup, jaccard, language, packing, pii, quality, token_counts, token_file, warc
+from docloom.llm import (
+    bpe,
+    collocations,
+    exact_dedup,
+    jaccard,
+    language,
+    negatives,
+    packing,
+    pii,
+    quality,
+    repeats,
+    token_counts,
+    token_file,
+    warc,
+)
 from docloom.functions.text import markup_to_text
 from docloom.llm.storage import text_batches
 from docloom.session import spread
@@ -125,3 +139,21 @@ def op9_pii_spans(spark, sf):
 def op10_exact_dedup(spark, sf):
     return exact_dedup.groups(documents(spark, sf)).drop("_key")
 
+
+@query
+def op11_substring_dedup(spark, sf):
+    left = repeats.without_repeats(documents(spark, sf))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op12_collocations(spark, sf):
+    return collocations.collocations(documents(spark, sf))
+
+
+@query
+def op13_hard_negatives(spark, sf):
+    """Every vector whose id is divisible by 100 is an anchor; labels of ids divisible by 7 are moved on by one."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = spread(table(spark, sf, "embeddings"), "vec_id").withColumn("label", moved)
+    return negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
