@@ -44,6 +44,8 @@ SCALE = 2_000_000
 WORDS_PER_GROUP = 500_000
 PHRASES_HELD = 4_000_000
 COUNTED_HELD = 1_000_000
+#: Candidates whose counts are added up in one group, about.
+PHRASES_PER_GROUP = 20_000
 
 # What ends a piece, and what else separates words.
 PIECE_ENDS = (*map(ord, ".,;:!?"), *range(0x0A, 0x0E))
@@ -92,7 +94,7 @@ def folded(parts: list[np.ndarray], counts: list[np.ndarray] | None = None) -> t
         return np.unique(numbers, return_counts=True)
     order = np.argsort(numbers, kind="stable")
     numbers = numbers[order]
-    first = np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1])[: len(numbers)])
+    first = starts_of(numbers)
     return numbers[first], np.add.reduceat(np.concatenate(counts)[order], first) if len(first) else first
 
 
@@ -173,9 +175,8 @@ def local_counts(own: DataFrame, buckets: int) -> DataFrame:
         for (lang, shard), parts in held.items():
             numbers, counts = folded(parts)
             numbers = cut_short(numbers)
-            bucket = ((numbers >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)).astype(np.int64)
-            first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[: len(bucket)])
-            rows = []
+            bucket = bucket_of(numbers, buckets)
+            first, rows = starts_of(bucket), []
             for a, b in zip(first, [*first[1:], len(numbers)]):
                 many = counts[a:b] > 1
                 often = counts[a:b][many].astype("<u4").tobytes()
@@ -275,28 +276,43 @@ class Tally:
             self.names.append((own[new], spell(at[first[new]])))
             self.seen = np.insert(self.seen, place[new], own[new])
 
-    def close(self) -> tuple[pa.Array, np.ndarray]:
-        """(strings, counts)"""
-        _, counts = folded(self.numbers, self.counts)
+    def close(self) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+        """(sorted numbers, strings, counts)"""
+        numbers, counts = folded(self.numbers, self.counts)
         order = np.argsort(np.concatenate([own for own, _ in self.names]), kind="stable")
-        return pa.concat_arrays([names for _, names in self.names]).take(pa.array(order)), counts
+        return numbers, pa.concat_arrays([names for _, names in self.names]).take(pa.array(order)), counts
 
 
-def counted(own: DataFrame, is_candidate, support: int) -> DataFrame:
+def bucket_of(numbers: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each number; sorted numbers give sorted buckets."""
+    return ((numbers >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)).astype(np.int64)
+
+
+def starts_of(sorted_: np.ndarray) -> np.ndarray:
+    """Where a new value begins."""
+    return np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1])[: len(sorted_)])
+
+
+LISTS = "lang string, words int, bucket int, phrases array<string>, counts array<bigint>"
+
+
+def counted(own: DataFrame, is_candidate, support: int, buckets: int) -> DataFrame:
     """lang, phrase, words, f: the exact counts of candidates with ``support`` occurrences or more."""
 
     def close(held: dict[tuple[str, int], Tally]) -> Iterator[pa.RecordBatch]:
         for (lang, n), tally in held.items():
-            names, counts = tally.close()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([lang] * len(counts), pa.string()),
-                    names.cast(pa.large_string()).cast(pa.string()),
-                    pa.array(np.full(len(counts), n, np.int32)),
-                    pa.array(counts.astype(np.int64)),
-                ],
-                names=["lang", "phrase", "words", "n"],
-            )
+            numbers, names, counts = tally.close()
+            bucket = bucket_of(numbers, buckets)
+            first = starts_of(bucket)
+            ends = pa.array(np.append(first, len(bucket)), pa.int32())
+            columns = [
+                pa.array([lang] * len(first), pa.string()),
+                pa.array(np.full(len(first), n, np.int32)),
+                pa.array(bucket[first].astype(np.int32)),
+                pa.ListArray.from_arrays(ends, names.cast(pa.large_string()).cast(pa.string())),
+                pa.ListArray.from_arrays(ends, pa.array(counts.astype(np.int64))),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=[part.split()[0] for part in LISTS.split(", ")])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = {}
@@ -322,8 +338,22 @@ def counted(own: DataFrame, is_candidate, support: int) -> DataFrame:
         yield from close(held)
         release()
 
-    parts = own.mapInArrow(count, "lang string, phrase string, words int, n bigint")
-    return parts.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f")).where(F.col("f") >= support)
+    def add(table: pa.Table) -> pa.Table:
+        lists = [pa.concat_arrays([c.flatten() for c in table.column(n).chunks]) for n in ("phrases", "counts")]
+        summed = pa.table(lists, names=["phrase", "n"]).group_by("phrase").aggregate([("n", "sum")])
+        many = summed.filter(pc.greater_equal(summed.column("n_sum"), support))
+        lang, words = (table.column(c)[0].as_py() for c in ("lang", "words"))
+        return pa.table(
+            {
+                "lang": pa.array([lang] * len(many), pa.string()),
+                "phrase": many.column("phrase"),
+                "words": pa.array(np.full(len(many), words, np.int32)),
+                "f": many.column("n_sum"),
+            }
+        )
+
+    parts = own.mapInArrow(count, LISTS)
+    return parts.groupBy("lang", "words", "bucket").applyInArrow(add, "lang string, phrase string, words int, f bigint")
 
 
 def words_from(phrase: Column, first: Column, n: Column) -> Column:
@@ -392,8 +422,9 @@ def collocations(
     found = keep(mined(local_counts(own, buckets), share), "shard-phrases")
     numbers = keep(candidates(found, support), "candidates")
     bits = own.sparkSession.sparkContext.broadcast(membership.filter_of(numbers, total_bits))
+    buckets = min(1 << 24, numbers.count() // PHRASES_PER_GROUP + 1)
     counts = keep(
-        counted(own, lambda x: membership.may_hold(bits.value, x, total_bits), support), "phrase-counts"
+        counted(own, lambda x: membership.may_hold(bits.value, x, total_bits), support, buckets), "phrase-counts"
     )
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = scored(counts).withColumn("rank", F.row_number().over(order).cast("bigint")).where(F.col("rank") <= top)

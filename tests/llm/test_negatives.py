@@ -73,7 +73,7 @@ def test_given_vectors(spark, sf):
 
 def test_awkward_rows(spark):
     rows = random_rows(40, 2) + [
-        (None, [0.5] * 6, 1), (800, None, 1), (900, [0.5] * 6, None), (1000, [0.5, None, 0.5, 0, 0, 0], 1),
+        (None, [0.5] * 6, 1), (800, None, 1), (900, [0.5] * 6, None), (1000, [0.5, None, 0.5, 0.0, 0.0, 0.0], 1),
         (1100, [float("nan")] + [0.1] * 5, 1), (1200, [float("inf")] * 6, 1), (1300, [], 1), (1400, [0.5, 0.25], 1),
         (100, [0.5] * 6, 1), (100, [0.5] * 6, 1),
     ]
