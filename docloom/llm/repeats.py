@@ -43,7 +43,7 @@ SPAN = T.StructType([T.StructField(n, T.IntegerType()) for n in ("start", "end")
 SPANS = T.ArrayType(SPAN)
 #: Windows in a stretch, about.
 STRETCH = 64
-#: Measured bytes of what is broadcast: rows of a few numbers take several times as much in a hash table.
+#: Measured bytes of tables of numbers that are broadcast: their rows take several times as much in a hash table.
 MOST_BROADCAST = 8 * 1024 * 1024
 
 
@@ -211,7 +211,7 @@ def joined_to(own: DataFrame, per_text: DataFrame, how: str = "inner") -> DataFr
     value = per_text.columns[-1]
     named = per_text.select(F.col("_id").alias("_i"), F.col("_print").alias("_p"), value)
     same_text = F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_print") == F.col("_p"))
-    return own.join(broadcast_if_small(named, MOST_BROADCAST), same_text, how).select("_id", "_print", "_text", value)
+    return own.join(broadcast_if_small(named), same_text, how).select("_id", "_print", "_text", value)
 
 
 @F.arrow_udf(SPANS)
