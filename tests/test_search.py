@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docloom.functions.topk import TopK
-from docloom.operators import postings, text_search, vector
+from docloom.operators import blockmax, postings, text_search, vector
 
 
 def brute_text(queries, corpus, k):
@@ -43,16 +43,15 @@ def texts():
     return queries, corpus
 
 
-@pytest.mark.parametrize("limit", [1 << 26, 0])
-def test_text_is_brute_force(spark, texts, limit, monkeypatch):
-    """Whether query terms are broadcast or shuffled, and however the postings are dealt."""
-    monkeypatch.setattr("docloom.session.broadcast_if_small.__defaults__", (limit,))
+@pytest.mark.parametrize("limit,shard", [(1 << 26, 10_000), (2_000, 30), (1 << 26, 400)])
+def test_text_is_brute_force(spark, texts, limit, shard):
+    """Whether queries are taken at once or in batches, and however documents are dealt."""
     queries, corpus = texts
     q = spark.createDataFrame(queries, "query_id int, text string")
     c = spark.createDataFrame(corpus, "id bigint, text string").repartition(6)
-    stored = postings.store(c, documents_per_bucket=30, postings_per_folder=700)
+    stored = postings.store(c, documents_per_bucket=30, postings_per_folder=700, documents_per_shard=shard)
     assert stored.n == len(corpus) and stored.folders > 1
-    got = postings.search(q, stored, 5).select("query_id", "id", "score", "rank").collect()
+    got = postings.search(q, stored, 5, limit).select("query_id", "id", "score", "rank").collect()
     want = brute_text(queries, corpus, 5)
     assert [(r[0], r[1], r[3]) for r in sorted(got)] == [(w[0], w[1], w[3]) for w in want]
     assert all(abs(g[2] - w[2]) < 2e-6 for g, w in zip(sorted(got), want))
@@ -68,6 +67,41 @@ def test_scores_need_no_shuffle(spark, texts):
     assert "WindowGroupLimit" in plan and plan.count("Exchange hashpartitioning") == 1
 
 
+def test_most_postings_of_common_words_are_passed_over(spark):
+    """Documents of a few topics, each with words of its own and words of every text."""
+    rng = np.random.default_rng(4)
+    common = [f"the{i}" for i in range(5)]
+    corpus = []
+    for i in range(4_000):
+        topic = i % 200
+        words = [f"t{topic}w{j}" for j in rng.integers(0, 12, 14)] + list(rng.choice(common, 10))
+        corpus.append((i, " ".join(words)))
+    queries = [(q, " ".join([f"t{q}w{j}" for j in range(6)] + common)) for q in range(0, 200, 10)]
+    stored = postings.store(spark.createDataFrame(corpus, "id bigint, text string"))
+    asked = spark.createDataFrame(queries, "query_id int, text string")
+    got = sorted((r.query_id, r.rank, r.id) for r in postings.search(asked, stored, 5).collect())
+    assert got == [(q, r, i) for q, i, _, r in sorted(brute_text(queries, corpus, 5), key=lambda x: (x[0], x[3]))]
+    counted = postings.postings_read(asked, stored).first()
+    assert counted["scored"] < 0.4 * counted["postings"]
+
+
+def test_blocks_hold_every_posting(spark, texts):
+    corpus = spark.createDataFrame(texts[1], "id bigint, text string")
+    weighted = postings.weighted(corpus)
+    shards = blockmax.blocks(weighted, 5).collect()
+    ids = {r["shard"]: r["ids"] for r in shards if r["term"] is None}
+    assert len(ids) == 5 and sorted(i for own in ids.values() for i in own) == sorted(i for i, _ in texts[1])
+    got = set()
+    for r in shards:
+        if r["term"] is not None:
+            assert r["docs"] == sorted(r["docs"]) and r["firsts"][0] == 0
+            for first, end, top in zip(r["firsts"], [*r["firsts"][1:], len(r["docs"])], r["tops"]):
+                assert len({d // blockmax.RANGE for d in r["docs"][first:end]}) == 1
+                assert max(r["weights"][first:end]) == top
+            got |= {(ids[r["shard"]][d], r["term"], w) for d, w in zip(r["docs"], r["weights"])}
+    assert got == {tuple(r) for r in weighted.select("id", F.inline("pairs")).collect()}
+
+
 def test_text_ids_may_be_strings(spark):
     q = spark.createDataFrame([("q", "red fox")], "query_id string, text string")
     c = spark.createDataFrame([("b", "red"), ("a", "red"), ("c", "blue"), ("d", None)], "id string, text string")
