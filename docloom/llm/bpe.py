@@ -13,6 +13,7 @@ Only the named columns are read, so further columns cannot clash.
 
 from __future__ import annotations
 
+import heapq
 import json
 from collections.abc import Iterator
 
@@ -27,16 +28,8 @@ from docloom.llm.worker import once
 from docloom.llm.words import SPACE, Numbers, classes, slices
 
 NEVER = 2**31 - 1
-
-
-def byte_of_char() -> dict[str, int]:
-    """The byte that a character in a byte-level vocabulary stands for.
-
-    Printable characters stand for themselves, the other bytes in order for those from U+0100 on.
-    """
-    plain = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE]
-    rest = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+#: Bytes of a word from which pairs are kept in a heap.
+LONG = 200
 
 
 class Merges:
@@ -45,7 +38,7 @@ class Merges:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             model = json.load(f)["model"]
-        ids, suffix, byte = model["vocab"], model["end_of_word_suffix"], byte_of_char()
+        ids, suffix, byte = model["vocab"], model["end_of_word_suffix"], vocab.byte_of_char()
         self.size = max(ids.values()) + 1
         self.left, self.right = np.full(self.size, -1), np.full(self.size, -1)
         self.rank = np.full(self.size, -1)
@@ -88,6 +81,7 @@ class Merges:
                 self.longest[word[:2]] = max(self.longest.get(word[:2], 1), len(word))
                 by_end = self.longest_final if ends[t] else self.longest_middle
                 by_end[word[-2:]] = max(by_end.get(word[-2:], 1), len(word))
+        self.most_final = max(map(len, self.final), default=0)
 
     def rank_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The rank of the merge of each pair, ``NEVER`` if there is none."""
@@ -149,7 +143,7 @@ class Merges:
         """The longest token at every place, from left to right."""
         out, at, n = [], 0, len(word)
         while at < n:
-            found = self.final.get(word[at:])
+            found = self.final.get(word[at:]) if n - at <= self.most_final else None
             if found is None:
                 size = min(self.longest.get(word[at : at + 2], 1), n - at - 1)
                 while size > 1 and word[at : at + size] not in self.middle:
@@ -163,6 +157,8 @@ class Merges:
 
     def merge(self, word: bytes) -> list[int]:
         """The merges in their order, one at a time, of equal ones the leftmost first."""
+        if len(word) > LONG:
+            return self.merge_long(word)
         out = [self.single[False][b] for b in word[:-1]] + [self.single[True][word[-1]]]
         size, rank_of = self.size, self.rank_by_key.get
         ranks = [rank_of(a * size + b, NEVER) for a, b in zip(out, out[1:])]
@@ -176,6 +172,29 @@ class Merges:
                 ranks[at] = rank_of(out[at] * size + out[at + 1], NEVER)
         return out
 
+    def merge_long(self, word: bytes) -> list[int]:
+        """``merge`` with the pairs in a heap and the tokens in a linked list: n log n for n bytes."""
+        out = [self.single[False][b] for b in word[:-1]] + [self.single[True][word[-1]]]
+        size, rank_of, n = self.size, self.rank_by_key.get, len(out)
+        after, before = [*range(1, n), -1], [*range(-1, n - 1)]
+        heap = [(r, i) for i, (a, b) in enumerate(zip(out, out[1:])) if (r := rank_of(a * size + b)) is not None]
+        heapq.heapify(heap)
+        while heap:
+            rank, at = heapq.heappop(heap)
+            right = after[at]
+            # a token that was merged meanwhile is gone, or makes another pair
+            if right < 0 or out[at] < 0 or rank_of(out[at] * size + out[right]) != rank:
+                continue
+            out[at], out[right] = self.made[rank], -1
+            after[at] = beyond = after[right]
+            if beyond >= 0:
+                before[beyond] = at
+                if (r := rank_of(out[at] * size + out[beyond])) is not None:
+                    heapq.heappush(heap, (r, at))
+            if (left := before[at]) >= 0 and (r := rank_of(out[left] * size + out[at])) is not None:
+                heapq.heappush(heap, (r, left))
+        return [t for t in out if t >= 0]
+
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids in a row, ids per word): proposals, all adjacent pairs tested, failing words merged."""
         lists = [self.propose(w) for w in words]

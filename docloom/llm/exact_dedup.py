@@ -9,7 +9,7 @@ fold copies first, so a large group of copies is as cheap as a small one.
 
 Null texts are empty texts; all empty texts are equal. Of equal texts the one with the
 most code points stays, then the one with the smallest id (null ids last), and of
-repeated rows exactly one. Only the named columns are read. Every row gives a row.
+repeated rows exactly one. Ids may be numbers or strings. An empty table gives no rows. Only the named columns are read. Every row gives a row.
 """
 
 from __future__ import annotations
@@ -28,10 +28,12 @@ from docloom.llm.token_file import from_bytes, to_bytes
 from docloom.session import broadcast_if_small
 
 WHITE = r"[\x20\x09-\x0D]+"
-QUOTIENT_BITS = 16
+#: A filter has about as many quotients as fingerprints, so that its bytes follow what it holds.
+MOST_QUOTIENT_BITS = 16
 FINGERPRINTS_PER_BLOCK = 1 << 16
 FINGERPRINTS_PER_FILTER = 4_000_000
-HEAD = "<QQQ"
+#: Block, its bits, quotient bits, slots.
+HEAD = "<QBBI"
 
 
 def normalised(text: Column) -> Column:
@@ -61,32 +63,33 @@ def filter_bytes(fingerprints: np.ndarray, counts: np.ndarray, block_bits: int)
     each = np.full(len(fingerprints), most, np.int64)
     each[last] = counts - (slots - 1) * most
     tail = (fingerprints << np.uint64(block_bits)) >> np.uint64(block_bits)
-    shift = np.uint64(64 - block_bits - QUOTIENT_BITS)
+    quotient_bits = min(MOST_QUOTIENT_BITS, len(fingerprints).bit_length())
+    shift = np.uint64(64 - block_bits - quotient_bits)
     quotient = (tail >> shift).astype(np.int64)
-    occupied = np.bincount(quotient, minlength=1 << QUOTIENT_BITS) > 0
+    occupied = np.bincount(quotient, minlength=1 << quotient_bits) > 0
     run_end = np.append(quotient[1:] != quotient[:-1], True)[: len(quotient)]
     remainder = tail & ((np.uint64(1) << shift) - np.uint64(1))
     control, data = to_bytes(each.astype(np.uint32))
     block = int(fingerprints[0] >> np.uint64(64 - block_bits)) if block_bits else 0
     parts = [np.packbits(occupied), np.packbits(run_end), remainder.astype("<u8"), control, data]
-    return struct.pack(HEAD, block, block_bits, len(fingerprints)) + b"".join(p.tobytes() for p in parts)
+    return struct.pack(HEAD, block, block_bits, quotient_bits, len(fingerprints)) + b"".join(p.tobytes() for p in parts)
 
 
 def filter_counts(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """The fingerprints, in order, and counts that a filter holds."""
-    block, block_bits, n = struct.unpack_from(HEAD, data)
+    block, block_bits, quotient_bits, n = struct.unpack_from(HEAD, data)
     at = struct.calcsize(HEAD)
     fields = []
-    for kind, size in (("u1", (1 << QUOTIENT_BITS) // 8), ("u1", -(-n // 8)), ("<u8", n), ("u1", -(-n // 4))):
+    for kind, size in (("u1", -(-(1 << quotient_bits) // 8)), ("u1", -(-n // 8)), ("<u8", n), ("u1", -(-n // 4))):
         fields.append(np.frombuffer(data, kind, size, at))
         at += size * np.dtype(kind).itemsize
     occupied, run_end, remainder, control = fields
     counts = from_bytes(control, np.frombuffer(data, "u1", -1, at), n).astype(np.int64)
     ends = np.unpackbits(run_end, count=n)
     run = np.cumsum(ends) - ends
-    quotient = np.flatnonzero(np.unpackbits(occupied))[run].astype(np.uint64)
+    quotient = np.flatnonzero(np.unpackbits(occupied, count=1 << quotient_bits))[run].astype(np.uint64)
     top = np.uint64(block << (64 - block_bits) if block_bits else 0)
-    shift = np.uint64(64 - block_bits - QUOTIENT_BITS)
+    shift = np.uint64(64 - block_bits - quotient_bits)
     return top | (quotient << shift) | remainder, counts
 
 
@@ -150,14 +153,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     )
     many = keep(repeated(rows.select("_fp"), rows.count()), "repeated").select(F.col("fp").alias("_fp"))
     wanted = broadcast_if_small(many)
-    best = F.max(
-        F.struct(
-            "_points",
-            F.col("_id").isNotNull().alias("known"),
-            (-F.col("_id")).alias("small"),
-            (-F.col("_row")).alias("row"),
-        )
-    )
+    best = F.min(F.struct((-F.col("_points")).alias("points"), F.col("_id").isNull().alias("unknown"), "_id", "_row"))
     same_digest = (
         rows.join(wanted, "_fp", "left_semi")
         .groupBy("_fp", "_sha")
@@ -175,8 +171,8 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         "_fp",
         "_sha",
         "_size",
-        (-F.col("_best.small")).alias("_keep"),
-        (-F.col("_best.row")).alias("_keep_row"),
+        F.col("_best._id").alias("_keep"),
+        F.col("_best._row").alias("_keep_row"),
     )
     grouped = F.col("_size").isNotNull()
     return rows.join(verified, ["_fp", "_sha"], "left").select(

@@ -9,7 +9,7 @@ Four kinds of evidence meet in a sum of logarithms per language:
 
 All counts are grouped aggregations of what the text alone says, in whole thousandths of a
 document so that sums do not depend on their order; a document's own share is taken out of its
-host's. Every label is a language; only the multinomials are fitted on a bounded sample of labelled rows. The language ``und``
+host's. Every label that names one is a language; only the multinomials are fitted on a bounded sample of labelled rows. The language ``und``
 has a uniform multinomial and wins where no known language explains a text.
 
 A document is kept if its text has a letter and the known languages together reach a probability of
@@ -45,6 +45,8 @@ TEXT_WEIGHT = 0.1
 STRENGTH = 5.0
 LEAST = 0.5
 UNKNOWN = "und"
+# Tags of no certain, several, and no linguistic content.
+NO_LANGUAGE = (UNKNOWN, "mul", "zxx")
 #: What a text weighs as evidence of no known language before it is read.
 UNKNOWN_WEIGHT = 0.01
 HASHES = 1 << 30
@@ -96,11 +98,12 @@ def fit(
 ) -> Model:
     """Multinomials of all labels, in a sample of about ``rows`` labelled rows.
 
+    A label counts by its first part, as a declaration does; empty ones and those that name no language are none.
     Labels are counted over all rows, and each gives an even share of its own, by a hash of the id: rare ones all rows.
     """
     labelled = docs.select(
-        F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(text_col).alias("text")
-    ).where(F.col("label").isNotNull() & F.col("text").isNotNull())
+        F.col(id_col).alias("id"), first_part(F.col(label_col)).alias("label"), F.col(text_col).alias("text")
+    ).where(~F.col("label").isin("", *NO_LANGUAGE) & F.col("text").isNotNull())
     counts_of = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
     languages, most = sorted(counts_of), rows_per_label(list(counts_of.values()), rows)
     shares = docs.sparkSession.createDataFrame(

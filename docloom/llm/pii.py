@@ -118,7 +118,9 @@ def found_in(text: str) -> list[Span]:
     """The plain identifiers, kind by kind, from left to right."""
     spans = list(emails(text))
     for m in IP.finditer(text):
-        if m[1] and all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        # zeros in front do not count, and the library takes no number of thousands of digits
+        parts = [p.lstrip("0") for p in m[0].split(".")]
+        if m[1] and all(len(p) <= 3 and int(p or "0") <= 255 for p in parts):
             spans.append(("ip", *m.span()))
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 16 and 16 <= len(digits := NOT_DIGIT.sub("", m[0])) <= 19 and luhn(digits):
@@ -312,7 +314,7 @@ SPANS = T.ArrayType(
 
 
 def find(docs: DataFrame, text_col: str = "text", spans_col: str = "spans") -> DataFrame:
-    """``docs`` with ``spans_col``, a new column: array of (kind, start, end, plain) by kind, start and end."""
+    """``docs`` with ``spans_col``: array of (kind, start, end, plain) by kind, start and end; a column of that name gives way."""
 
     @F.arrow_udf(SPANS)
     def spans(texts: pa.Array) -> pa.Array:

@@ -11,19 +11,12 @@ from collections.abc import Iterator
 
 import numpy as np
 
-from docloom.llm.words import slices
+from docloom.llm.words import mixed, slices
 
 N = 5
 _TIMES = np.uint64(0x9E3779B97F4A7C15)
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """Numbers whose bits all depend on all bits of ``x``."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def word_numbers(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(number of every word of all texts in a row, words before each text)."""
     encoded = [t.encode("utf-8", "surrogatepass") for t in texts]

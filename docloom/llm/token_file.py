@@ -185,5 +185,6 @@ def read(files: DataFrame, id_col: str = "doc_id") -> DataFrame:
                     )
 
     readers = min(READERS, max(1, files.count()))
-    dealt = files.select("file", "first").repartition(readers, "file")
+    # one file after the other to each reader: a hash of names would leave many without any
+    dealt = files.select("file", "first").repartition(readers)
     return dealt.mapInArrow(decode, f"{id_col} bigint, start bigint, n_tokens bigint, ids binary")

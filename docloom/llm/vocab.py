@@ -13,7 +13,14 @@ from docloom.llm.worker import once
 from docloom.llm.words import UNUSUAL, Numbers, distinct_words, ragged
 
 
-WORDS_PER_CALL = 10_000
+def byte_of_char() -> dict[str, int]:
+    """The byte that a character in a byte-level vocabulary stands for.
+
+    Printable characters stand for themselves, the other bytes in order for those from U+0100 on.
+    """
+    plain = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
 def tokenizer(path: str) -> Tokenizer:
@@ -82,16 +89,13 @@ def gathered(
 
 
 def _byte_ids(path: str):
-    """Ids of words by the library, many words in a call: it keeps some 200 bytes a token until the call is over."""
+    """Ids of words by the library's merges alone: a word needs no cutting, and of its tokens only the ids."""
 
     def make(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        ids, sizes = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
-        for at in range(0, len(words), WORDS_PER_CALL):
-            some = [w.decode("utf-8", "replace") for w in words[at : at + WORDS_PER_CALL]]
-            found = tokenizer(path).encode(some, is_pretokenized=True, add_special_tokens=False)
-            ids.append(np.asarray(found.ids, dtype=np.int32))
-            sizes.append(np.bincount(np.asarray(found.word_ids, dtype=np.int64), minlength=len(some)))
-        return np.concatenate(ids), np.concatenate(sizes)
+        merges, chars = tokenizer(path).model, {b: c for c, b in byte_of_char().items()}
+        found = [[t.id for t in merges.tokenize(w.decode("latin-1").translate(chars))] for w in words]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter((i for ids in found for i in ids), np.int32, int(sizes.sum())), sizes
 
     return make
 

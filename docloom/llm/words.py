@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,7 @@ import pyarrow.compute as pc
 from docloom.llm.worker import once
 
 OTHER, LETTER, NUMBER, SPACE, BLANK = range(5)
+_TIMES = np.uint64(0x9E3779B97F4A7C15)
 SLICE = 2_000_000
 # What White_Space holds.
 WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -27,6 +29,13 @@ ENDINGS = ("s", "t", "m", "d", "re", "ve", "ll")
 UNUSUAL = re.compile("[^\x00-įı-ſ]")
 
 
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Numbers whose bits all depend on all bits of ``x``."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
 def _classes() -> np.ndarray:
     kinds = {"L": LETTER, "N": NUMBER}
     table = np.fromiter(
@@ -136,32 +145,95 @@ def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - sizes), sizes)
 
 
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """64 bits of each word of a binary array: a sum over its bytes with a multiplier for each place, mixed."""
+    offsets = np.frombuffer(words.buffers()[1], np.int32, len(words) + 1, 4 * words.offset).astype(np.int64)
+    size = np.diff(offsets)
+    data = words.buffers()[2]
+    letters = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data else np.empty(0, np.uint8)
+    place = np.arange(len(letters)) - np.repeat(offsets[:-1] - offsets[0], size)
+    factors = mixed(np.arange(1, int(size.max(initial=0)) + 1, dtype=np.uint64) * _TIMES) | np.uint64(1)
+    parts = (letters.astype(np.uint64) + np.uint64(1)) * factors[place]
+    ends = np.concatenate([np.zeros(1, np.uint64), np.cumsum(parts)])
+    return mixed(ends[offsets[1:] - offsets[0]] - ends[offsets[:-1] - offsets[0]])
+
+
+@dataclass
+class Known:
+    """Words by hash, in order, with a flat list of numbers each."""
+
+    hashes: np.ndarray
+    words: pa.Array
+    start: np.ndarray
+    size: np.ndarray
+    flat: np.ndarray
+
+    @classmethod
+    def of(cls, words: pa.Array, hashes: np.ndarray, size: np.ndarray, flat: np.ndarray) -> Known:
+        order = np.argsort(hashes, kind="stable")
+        start = np.cumsum(size) - size
+        return cls(hashes[order], words.take(pa.array(order)), start[order], size[order], flat)
+
+    def with_(self, other: Known) -> Known:
+        start = np.concatenate([self.start, other.start + len(self.flat)])
+        hashes = np.concatenate([self.hashes, other.hashes])
+        order = np.argsort(hashes, kind="stable")
+        words = pa.concat_arrays([self.words, other.words]).take(pa.array(order))
+        size = np.concatenate([self.size, other.size])[order]
+        return Known(hashes[order], words, start[order], size, np.concatenate([self.flat, other.flat]))
+
+    def find(self, words: pa.Array, hashes: np.ndarray) -> np.ndarray:
+        """The place of each word here, -1 for none; bytes are compared where hashes agree."""
+        at = np.searchsorted(self.hashes, hashes)
+        at[at == len(self.hashes)] = 0
+        alike = np.flatnonzero(self.hashes[at] == hashes)
+        same = pc.equal(self.words.take(pa.array(at[alike])), words.take(pa.array(alike)))
+        place = np.full(len(hashes), -1)
+        alike = alike[same.to_numpy(zero_copy_only=False)]
+        place[alike] = at[alike]
+        return place
+
+
 class Numbers:
-    """A flat list of numbers per word, made for unseen words only and emptied when it grows too large.
+    """A flat list of numbers per word, made for unseen words only.
 
-    Words and numbers lie in arrays, some thirty bytes a word.
+    Words lie in a few runs by hash; neighbouring runs of like size are merged, up to an eighth of ``most`` words, and
+    beyond ``most`` the oldest run is dropped. Words and numbers lie in arrays, some forty bytes a word.
     """
 
     def __init__(self, make, most: int = 1_000_000):
         self.make, self.most = make, most
-        self._empty()
-
-    def _empty(self) -> None:
-        self.known = pa.array([], pa.binary())
-        self.start, self.size, self.flat = np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int32)
+        self.runs: list[Known] = []
 
     def of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, size, flat): word i has the numbers flat[start[i] : start[i] + size[i]]. Words are distinct."""
-        if len(self.known) > self.most:
-            self._empty()
-        found = pc.index_in(words, value_set=self.known)
-        new = words.filter(pc.is_null(found))
-        place = pc.fill_null(found, -1).to_numpy().astype(np.int64)
-        if len(new):
-            made, size = self.make(new.to_pylist())
-            place[place < 0] = len(self.known) + np.arange(len(new))
-            self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
-            self.size = np.concatenate([self.size, size.astype(np.int32)])
-            self.flat = np.concatenate([self.flat, made.astype(np.int32)])
-            self.known = pa.concat_arrays([self.known, new])
-        return self.start[place], self.size[place], self.flat
+        hashes = word_hashes(words)
+        start, size = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        flat, held, rest = [], 0, np.arange(len(words))
+        for run in self.runs:
+            place = run.find(words.take(pa.array(rest)), hashes[rest])
+            hit = rest[place >= 0]
+            at = place[place >= 0]
+            size[hit] = run.size[at]
+            start[hit] = held + np.cumsum(run.size[at]) - run.size[at]
+            flat.append(run.flat[ragged(run.start[at], run.size[at])])
+            held, rest = held + len(flat[-1]), rest[place < 0]
+        if len(rest):
+            new = words.take(pa.array(rest))
+            made, many = self.make(new.to_pylist())
+            size[rest] = many
+            start[rest] = held + np.cumsum(many) - many
+            flat.append(made.astype(np.int32))
+            self._add(Known.of(new, hashes[rest], many.astype(np.int64), flat[-1]))
+        return start, size, np.concatenate(flat) if flat else np.empty(0, np.int32)
+
+    def _add(self, run: Known) -> None:
+        self.runs.append(run)
+        while len(self.runs) > 1:
+            one, two = self.runs[-2], self.runs[-1]
+            both = len(one.hashes) + len(two.hashes)
+            if both > max(self.most // 8, 1) or len(one.hashes) > 2 * len(two.hashes):
+                break
+            self.runs[-2:] = [one.with_(two)]
+        while len(self.runs) > 1 and sum(len(r.hashes) for r in self.runs) > self.most:
+            del self.runs[0]
