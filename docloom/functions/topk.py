@@ -32,13 +32,16 @@ class TopK:
 
     def offer(self, scores: np.ndarray, ids: np.ndarray, first: int = 0) -> None:
         """``scores`` is queries x rows, for the queries from ``first`` on."""
+        self.offer_to(np.arange(first, first + len(scores)), scores, ids)
+
+    def offer_to(self, own: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+        """``scores`` is queries x rows, for the different queries ``own``."""
         if not scores.size:
             return
         if self.ids is None:
             self.ids = np.empty(self.score.shape, dtype=ids.dtype)
         elif ids.dtype.itemsize > self.ids.dtype.itemsize:
             self.ids = self.ids.astype(ids.dtype)
-        own = slice(first, first + len(scores))
         floor = self.floor[own]
         if scores.shape[1] > self.k and np.isneginf(floor).any():
             floor = np.maximum(floor, np.partition(scores, -self.k, axis=1)[:, -self.k])
@@ -46,7 +49,8 @@ class TopK:
         if not len(q):
             return
         gained = np.unique(q)
-        old_score, old_id = self.score[own][gained], self.ids[own][gained]
+        to = own[gained]
+        old_score, old_id = self.score[to], self.ids[to]
         held = old_score > -np.inf
         query = np.concatenate([np.nonzero(held)[0], np.searchsorted(gained, q)])
         score = np.concatenate([old_score[held], np.round(scores[q, r], 6).astype(np.float64)])
@@ -55,10 +59,10 @@ class TopK:
         query, score, found = query[order], score[order], found[order]
         place = np.arange(len(query)) - np.searchsorted(query, query, side="left")
         keep = place < self.k
-        row, column = first + gained[query[keep]], place[keep]
-        self.score[first + gained] = -np.inf
+        row, column = to[query[keep]], place[keep]
+        self.score[to] = -np.inf
         self.score[row, column], self.ids[row, column] = score[keep], found[keep]
-        self.floor[first + gained] = self.score[first + gained, self.k - 1]
+        self.floor[to] = np.maximum(self.floor[to], self.score[to, self.k - 1])
 
     def batch(self, names: np.ndarray, name_type: pa.DataType, id_type: pa.DataType) -> pa.RecordBatch:
         """The hits kept so far as (query_id, id, score)."""

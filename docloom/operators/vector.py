@@ -25,7 +25,7 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return np.divide(rows, norm, out=np.zeros_like(rows), where=norm > 0)
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
+def matrix(column: pa.Array) -> np.ndarray:
     """Unit vectors; an error if they are not all of one length."""
     sizes = pc.unique(pc.list_value_length(column))
     if len(sizes) > 1:
@@ -50,18 +50,18 @@ def _score(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
     if not local.num_rows:
         return spark.createDataFrame([], hit_schema(queries, corpus))
     shared = spark.sparkContext.broadcast(
-        (np.asarray(local["query_id"].to_pylist()), _matrix(local["v"].combine_chunks()))
+        (np.asarray(local["query_id"].to_pylist()), matrix(local["v"].combine_chunks()))
     )
     name_type = local.schema.field("query_id").type
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, matrix = shared.value
+        names, asked = shared.value
         best = TopK(len(names), k)
         for batch in batches:
             if batch.num_rows:
                 arrow_id = batch.column("id").type
                 ids = np.asarray(batch.column("id").to_pylist())
-                _offer(best, matrix, _matrix(batch.column("v")), ids)
+                _offer(best, asked, matrix(batch.column("v")), ids)
         if best.ids is not None:
             yield best.batch(names, name_type, arrow_id)
 
@@ -82,8 +82,8 @@ def _score_blocks(queries: DataFrame, corpus: DataFrame, k: int, keys: list[str]
         names, ids = left["query_id"].combine_chunks(), right["id"].combine_chunks()
         best = TopK(len(names), k)
         if len(names) and len(ids):
-            queries = _matrix(left["v"].combine_chunks())
-            _offer(best, queries, _matrix(right["v"].combine_chunks()), np.asarray(ids.to_pylist()))
+            queries = matrix(left["v"].combine_chunks())
+            _offer(best, queries, matrix(right["v"].combine_chunks()), np.asarray(ids.to_pylist()))
         return pa.Table.from_batches([best.batch(np.asarray(names.to_pylist()), names.type, ids.type)])
 
     group = [*keys, "qb", "cb"]
@@ -113,13 +113,13 @@ def _bucketer(size: int, tables: int, width: int):
 
     @F.arrow_udf("array<bigint>")
     def buckets(vectors: pa.Array) -> pa.Array:
-        sides = (_matrix(vectors) @ directions > 0).reshape(len(vectors), tables, width)
+        sides = (matrix(vectors) @ directions > 0).reshape(len(vectors), tables, width)
         return pa.FixedSizeListArray.from_arrays(pa.array((sides @ powers).ravel()), tables).cast(pa.list_(pa.int64()))
 
     return buckets
 
 
-def _fresh(df: DataFrame, key: str) -> DataFrame:
+def fresh(df: DataFrame, key: str) -> DataFrame:
     """(key, v) under new column identities, so that a table can be searched with its own rows."""
     return df.where(F.col("v").isNotNull()).select(F.col(key).alias(key), F.col("v").alias("v"))
 
@@ -130,7 +130,7 @@ def knn_exact(queries: DataFrame, corpus: DataFrame, k: int = 5, limit: int = BR
     A row per hit, so a query without a vector has none. Queries are broadcast; where they exceed
     ``limit`` bytes, blocks of them meet blocks of the corpus in one job.
     """
-    queries, corpus = materialise(_fresh(queries, "query_id"), "queries"), _fresh(corpus, "id")
+    queries, corpus = materialise(fresh(queries, "query_id"), "queries"), fresh(corpus, "id")
     size = measured(queries)[1]
     if size <= limit:
         return top_k(_score(queries, corpus, k), k)
@@ -176,7 +176,7 @@ def knn_lsh(
     of a corpus vector only the k smallest ids can be hits, and equal queries
     have equal hits. Buckets that are large all the same are cut into blocks.
     """
-    queries, corpus = _fresh(queries, "query_id"), _fresh(corpus, "id")
+    queries, corpus = fresh(queries, "query_id"), fresh(corpus, "id")
     first = corpus.select(F.size("v").alias("n")).first()
     buckets = _bucketer(first["n"] if first else 1, tables, width)
     offered = materialise(_few_copies(corpus, k).withColumn("b", buckets("v")), "lsh-corpus")

@@ -294,6 +294,11 @@ def oracle() -> dict[str, str]:
                   FROM qs, embeddings)
             SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY round(sc, 6) DESC, id) AS rank, id,
                    round(sc, 6) AS score FROM s QUALIFY rank <= {q.K}""",
+        "knn_exact_each": f"""WITH emb AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings),
+            s AS (SELECT x.id AS query_id, y.id, list_cosine_similarity(x.v, y.v) AS sc
+                  FROM emb x JOIN emb y ON x.id % 50 = 0)
+            SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY round(sc, 6) DESC, id) AS rank, id,
+                   round(sc, 6) AS score FROM s QUALIFY rank <= {q.K}""",
         "search_text_tfidf": f"""WITH {search(ASKED, "SELECT doc_id AS id, text FROM documents", q.K)}
             SELECT query_id, rank, id, score FROM hits""",
         "search_top1": f"{over_index(ASKED, 1)} SELECT query_id, chunked_text FROM found",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.functions.text import file_name, namespace
-from docloom.operators import chat, chunk, embed, evaluate, extract, infer, prompt, sql_search, text_search, vector
+from docloom.operators import chat, chunk, embed, evaluate, extract, infer, ivf, prompt, sql_search, text_search, vector
 from docloom.operators import index as index_ops
 from docloom.plans import clients
 from docloom.plans import tables as t
@@ -23,6 +23,9 @@ QUERIES: dict[str, Query] = {}
 K = 3
 SLOTS = 1 << 18
 LSH_TABLES, LSH_WIDTH = 16, 4
+IVF_CELLS, IVF_PROBES = 16, 12
+#: Queries beyond these bytes meet the corpus in blocks.
+QUERY_BYTES = 4_096
 QUESTION = "the thing with that and station inon"
 
 
@@ -218,6 +221,39 @@ def knn_lsh(spark, sf):
     return _ranked(vector.knn_lsh(queries, corpus, K, LSH_TABLES, LSH_WIDTH))
 
 
+def _every_fiftieth(spark, sf) -> DataFrame:
+    return _corpus(spark, sf).where("id % 50 = 0").withColumnRenamed("id", "query_id")
+
+
+@query
+def knn_exact_each(spark, sf):
+    """The vectors nearest to every vector whose id is divisible by 50, block by block."""
+    return _ranked(vector.knn_exact(_every_fiftieth(spark, sf), _corpus(spark, sf), K, limit=QUERY_BYTES))
+
+
+@query
+def knn_ivf(spark, sf):
+    """The same queries by cells and codes; most cells are looked into, as these vectors lie in no groups."""
+    corpus = _corpus(spark, sf)
+    index = ivf.build(corpus, IVF_CELLS)
+    return _ranked(ivf.knn_ivf(_every_fiftieth(spark, sf), corpus, index, K, IVF_PROBES))
+
+
+@query
+def knn_ivf_recall(spark, sf):
+    """What part of the exact hits the inverted file finds, and for what part of all pairs it needs full vectors."""
+    corpus, queries = _corpus(spark, sf), _every_fiftieth(spark, sf)
+    index = ivf.build(corpus, IVF_CELLS)
+    found = ivf.knn_ivf(queries, corpus, index, K, IVF_PROBES).select("query_id", "id", F.lit(1).alias("found"))
+    exact = vector.knn_exact(queries, corpus, K)
+    pairs = F.lit(ivf.SHORTLIST) / F.lit(max(index.n, 1))
+    return exact.join(found, ["query_id", "id"], "left").agg(
+        F.count(F.lit(1)).alias("exact_hits"),
+        F.round(F.count("found") / F.count(F.lit(1)), 6).alias("recall"),
+        F.round(F.max(F.least(pairs, F.lit(1.0))), 6).alias("pairs_compared"),
+    )
+
+
 @query
 def search_text_tfidf(spark, sf):
     return _ranked(text_search.search_text(t.questions(spark, sf), t.stored_documents(spark, sf), K))
