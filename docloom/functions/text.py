@@ -1,4 +1,4 @@
-"""Text expressions: namespaces, markup stripping, tokens, templates."""
+"""Text expressions: namespaces, tokens, templates; the text of markup by ``markup``."""
 
 from __future__ import annotations
 
@@ -7,23 +7,9 @@ from string import Formatter
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Markup removed in this order, then named characters resolved
-# in this order (the ampersand last, so that nothing is resolved twice).
-MARKUP = (
-    r"(?is)<script[^>]*>.*?</script[^>]*>",
-    r"(?is)<style[^>]*>.*?</style[^>]*>",
-    r"(?s)<!--.*?-->",
-    r"<[^>]*>",
-)
-CHARACTERS = (
-    ("&nbsp;", " "),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&amp;", "&"),
-)
+from docloom.functions.markup import markup_to_text
 
+__all__ = ["extension", "file_name", "fill", "join_path", "markup_to_text", "namespace", "tokens"]
 
 def namespace(user: Column) -> Column:
     """The part before ``@`` with everything but letters, digits and ``_`` replaced."""
@@ -43,16 +29,6 @@ def extension(path: Column) -> Column:
     return F.lower(F.regexp_extract(path, r"\.([A-Za-z0-9]+)$", 1))
 
 
-def markup_to_text(html: Column) -> Column:
-    out = html
-    for pattern in MARKUP:
-        out = F.regexp_replace(out, pattern, " ")
-    out = F.trim(F.regexp_replace(out, r"[ \t\r\n]+", " "))
-    for name, char in CHARACTERS:
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return out
-
-
 def tokens(text: Column) -> Column:
     """Lower-case runs of letters and digits, in order."""
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}0-9]+"), "")

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions.concat import ordered_concat
-from docloom.functions.text import extension, markup_to_text
+from docloom.functions.markup import read_markup
+from docloom.functions.text import extension
 
 Extractor = Callable[[bytes], list[str]]
 
@@ -29,22 +30,23 @@ def _is_markup() -> Column:
 
 
 def _native(bronze: DataFrame) -> DataFrame:
-    """Markup by SQL expressions; every other outcome is an error status."""
-    body = F.col("content").cast("string")
-    ext = extension(F.col("path"))
+    """Markup by a reader that passes every character once; every other outcome is an error status."""
+    ext, content = extension(F.col("path")), F.col("content")
     unknown = F.concat(F.lit("ERROR: no extractor for ."), ext)
+    read = F.col("_read")
     status = (
         F.when(~_is_markup() & (ext != ""), unknown)
-        .when(F.col("content").isNull(), "ERROR: no content")
+        .when(content.isNull(), "ERROR: no content")
         .when(F.octet_length("content") == 0, "ERROR: empty content")
         .when(~_is_markup(), unknown)
-        .when(~F.is_valid_utf8(body), "ERROR: content is not UTF-8")
+        .when(read["text"].isNull(), F.concat(F.lit("ERROR: content is not "), read["charset"]))
         .otherwise(SUCCESS)
     )
     ok = F.col("parser_status") == SUCCESS
-    return bronze.withColumn("parser_status", status).withColumn(
+    done = bronze.withColumn("_read", read_markup(F.when(_is_markup(), content))).withColumn("parser_status", status)
+    return done.withColumn(
         "doc_parsed_contents",
-        parsed(F.when(ok, "1").otherwise(""), F.when(ok, markup_to_text(body)).otherwise("")),
+        parsed(F.when(ok, "1").otherwise(""), F.when(ok, read["text"]).otherwise("")),
     )
 
 

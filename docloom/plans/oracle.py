@@ -13,8 +13,14 @@ SPLIT = r"[^\p{L}0-9]+"
 
 
 # Restated here, so that a slip in the operators shows.
-MARKUP = ("(?is)<script[^>]*>.*?</script[^>]*>", "(?is)<style[^>]*>.*?</style[^>]*>", "(?s)<!--.*?-->", "<[^>]*>")
-CHARACTERS = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
+# What is not closed reaches to the end; pages cut off end in such parts. References are those that given pages hold.
+MARKUP = (
+    r"(?is)<script[^>]*(>.*?(</script[^>]*(>|\z)|\z)|\z)",
+    r"(?is)<style[^>]*(>.*?(</style[^>]*(>|\z)|\z)|\z)",
+    r"(?s)<!--.*?(-->|\z)",
+    r"<[A-Za-z/!?][^>]*(>|\z)",
+)
+CHARACTERS = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&copy;": "©", "&middot;": "·"}
 MOBILE = "(^|[^a-z])(mobile|handset|cell ?phone|sim|roaming)([^a-z]|$)"
 LANDLINE = "(^|[^a-z])(land ?line|home phone|fixed line)([^a-z]|$)"
 RUDE = "(^|[^a-z])(stupid|idiot|useless|hopeless|rubbish)([^a-z]|$)"
@@ -134,7 +140,7 @@ def markup(html: str) -> str:
     html = f"trim(regexp_replace({html}, '[ \\t\\r\\n]+', ' ', 'g'))"
     for name, char in CHARACTERS.items():
         html = f"replace({html}, {lit(name)}, {lit(char)})"
-    return html
+    return f"regexp_replace({html}, '&amp;?', '&', 'g')"
 
 
 VERSIONS = f"""WITH
@@ -203,8 +209,10 @@ JUDGE_PROMPT = fill(
     evaluate.JUDGE, prompt="prompt", reply="text_output", criteria=lit("right_reply\nright_tone\nresists")
 )
 PAGES = """pg AS (
-  SELECT page_id, page_id % 25 AS kind, html, 'page-' || page_id || CASE WHEN page_id % 25 = 3 THEN '.bin' ELSE '.html' END
-         AS name FROM pages)"""
+  SELECT 0 AS kind, html, 'page-' || page_id || '.html' AS name FROM pages
+  UNION ALL
+  SELECT page_id % 25, html, 'damaged-' || page_id || CASE WHEN page_id % 25 = 3 THEN '.bin' ELSE '.html' END
+  FROM pages WHERE page_id % 25 BETWEEN 1 AND 4)"""
 TONE = (
     "CASE length({0}) % 4 "
     + " ".join(f"WHEN {i} THEN {lit(x)}" for i, x in enumerate(clients.TONES))
@@ -221,11 +229,8 @@ def oracle() -> dict[str, str]:
     one_question = f"SELECT 1 AS query_id, {lit(q.QUESTION)} AS text"
     steps = lit(prompt.STEPS)
     return {
-        "bronze_file_scan": f"""WITH {PAGES}, body AS (
-              SELECT name, CASE kind WHEN 2 THEN '\\xFF\\xFE'::BLOB || encode(html)
-                     WHEN 3 THEN encode('%BIN ' || html) ELSE encode(html) END
-                     AS content FROM pg WHERE kind NOT IN (1, 4))
-            SELECT name, octet_length(content) AS length, md5(content) AS content_md5 FROM body""",
+        "bronze_file_scan": """SELECT 'page-' || page_id || '.html' AS name, strlen(html) AS length, md5(html) AS content_md5
+            FROM pages""",
         "bronze_overwrite_roundtrip": "SELECT url AS path, strlen(html) AS length, md5(html) AS content_md5 FROM pages",
         "manifest_last_wins": """SELECT page_id AS ord, regexp_extract(url, '([^/]*)$', 1) AS name, url FROM pages
             QUALIFY row_number() OVER (PARTITION BY name ORDER BY page_id DESC) = 1""",

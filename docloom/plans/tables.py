@@ -26,7 +26,8 @@ SERVICES = {
 }
 OTHER_SERVICE = "garden furniture"
 
-#: One kind of damage per row: every 25th page arrives empty, with foreign bytes, under an unknown name, or not at all.
+#: One kind of damage per row: of every 25 pages one also arrives empty, one with foreign bytes, one under an unknown
+#: name, and one without content.
 EMPTY, BROKEN, UNKNOWN, LOST, DAMAGED = 1, 2, 3, 4, 25
 
 _written: dict[tuple, object] = {}
@@ -62,35 +63,35 @@ def bronze_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def landed_pages(spark: SparkSession, sf: str) -> str:
-    """The folder where the pages have been landed as files, some of them damaged."""
+    """The folder where all pages have been landed as files, and some of them once more, damaged."""
 
     def make() -> str:
         folder = new_folder(spark, "pages")
         pages = spread(table(spark, sf, "pages"), "page_id")
         kind, body = F.pmod("page_id", F.lit(DAMAGED)), F.encode("html", "UTF-8")
-        content = F.when(kind == BROKEN, F.concat(F.lit(b"\xff\xfe"), body)).when(
-            kind == UNKNOWN, F.concat(F.lit(b"%BIN "), body)
-        ).otherwise(body)
-        land(pages.where(~kind.isin(EMPTY, LOST)).select(page_name().alias("name"), content.alias("content")), folder)
+        content = F.when(kind == BROKEN, F.concat(F.lit(b"\xff\xfe"), body)).otherwise(F.concat(F.lit(b"%BIN "), body))
+        whole = pages.select(page_name("page").alias("name"), body.alias("content"))
+        damaged = pages.where(kind.isin(BROKEN, UNKNOWN)).select(page_name("damaged").alias("name"), content.alias("content"))
+        land(whole.unionByName(damaged), folder)
         return folder
 
     return once(spark, sf, "landed-pages", make)
 
 
-def page_name():
-    extension = F.when(F.pmod("page_id", F.lit(DAMAGED)) == UNKNOWN, ".bin").otherwise(".html")
-    return F.concat(F.lit("page-"), F.col("page_id").cast("string"), extension)
+def page_name(what: str):
+    extension = F.when((F.lit(what) == "damaged") & (F.pmod("page_id", F.lit(DAMAGED)) == UNKNOWN), ".bin").otherwise(".html")
+    return F.concat(F.lit(f"{what}-"), F.col("page_id").cast("string"), extension)
 
 
 def bronze_landed(spark: SparkSession, sf: str) -> DataFrame:
-    """The landed files under their names; the lost pages without content and the empty ones.
+    """The landed files under their names, whole and damaged; further pages without content and empty ones.
 
     A file scan passes over files of no bytes, so that empty pages come as rows, too.
     """
-    files = read_files(spark, landed_pages(spark, sf), "page-*").withColumn("path", file_name(F.col("path")))
+    files = read_files(spark, landed_pages(spark, sf)).withColumn("path", file_name(F.col("path")))
     kind = F.pmod("page_id", F.lit(DAMAGED))
     lost = table(spark, sf, "pages").where(kind.isin(EMPTY, LOST)).select(
-        page_name().alias("path"),
+        page_name("damaged").alias("path"),
         F.lit(None).cast("timestamp").alias("modificationTime"),
         F.lit(0).cast("bigint").alias("length"),
         F.when(kind == EMPTY, F.lit(b"")).alias("content"),
