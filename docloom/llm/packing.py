@@ -27,6 +27,7 @@ from docloom.llm import vocab
 from docloom.llm.storage import keep
 from docloom.llm.worker import release
 from docloom.llm.words import slices
+from docloom.session import broadcast_if_small
 
 CAPACITY = 1024
 END = 2
@@ -146,6 +147,8 @@ def place(made: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     slots = F.broadcast(spark.createDataFrame(plan(counts, capacity), names))
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = sizes.select("part", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    # a few numbers per task and length: broadcast while they are, so that no token ids are shuffled
+    before = broadcast_if_small(keep(before, "ranks-before"))
     ranked = made.join(before, ["part", "length"]).withColumn("rank", F.col("before") + F.col("nth"))
     inside = (F.col("rank") >= F.col("rank_from")) & (F.col("rank") < F.col("rank_from") + F.col("pieces"))
     nth = F.col("rank") - F.col("rank_from")
