@@ -277,6 +277,9 @@ def oracle() -> dict[str, str]:
         "index_apply_changes": f"""{VERSIONS}
             SELECT chunk_id, min(chunked_text) AS chunked_text, min(path) AS path, count(DISTINCT path) AS n_sources
             FROM g2 GROUP BY chunk_id""",
+        "stream_index_feed": f"""{VERSIONS}
+            SELECT chunk_id, min(chunked_text) AS chunked_text, min(path) AS path, count(DISTINCT path) AS n_sources
+            FROM g2 GROUP BY chunk_id""",
         "stream_gold_chunks": f"""WITH RECURSIVE src AS (
               SELECT 'doc/' || doc_id AS path, CASE WHEN doc_id % 10 = 0 THEN 'Revised. ' || text ELSE text END AS text
               FROM documents), {boundary('src')} SELECT * FROM gold""",

@@ -15,7 +15,7 @@ from docloom.plans import tables as t
 from docloom.session import materialise, new_folder, spread
 from docloom.sources import files
 from docloom.sources import tables as sinks
-from docloom.streaming import ingest
+from docloom.streaming import feed, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -175,8 +175,18 @@ def gold_change_feed(spark, sf):
 @query
 def index_apply_changes(spark, sf):
     old, new = t.gold_version(spark, sf, 1), t.gold_version(spark, sf, 2)
-    feed = materialise(index_ops.change_feed(old, new), "feed")
-    return index_ops.apply_changes(t.index_version(spark, sf, 1), new, feed)
+    changes = materialise(index_ops.change_feed(old, new), "feed")
+    return index_ops.apply_changes(t.index_version(spark, sf, 1), new, changes)
+
+
+@query
+def stream_index_feed(spark, sf):
+    """An index that follows the change feed of two gold versions as a stream, one after the other."""
+    folder, out, checkpoint = (new_folder(spark, x) for x in ("gold-versions", "followed-index", "feed-checkpoint"))
+    for number in (1, 2):
+        feed.publish(t.gold_version(spark, sf, number), folder)
+        feed.follow(spark, folder, out, checkpoint)
+    return feed.newest_index(spark, out)
 
 
 @query
