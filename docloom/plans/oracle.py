@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from math import exp, factorial
 from string import Formatter
 
 from docloom.operators import chat, evaluate, prompt
@@ -228,6 +229,9 @@ def oracle() -> dict[str, str]:
     doc_search = search(ASKED, "SELECT doc_id AS id, text FROM documents", 5)
     one_question = f"SELECT 1 AS query_id, {lit(q.QUESTION)} AS text"
     steps = lit(prompt.STEPS)
+    # a Poisson variable with mean one, by its distribution function
+    below = [sum(exp(-1) / factorial(j) for j in range(k + 1)) for k in range(9)]
+    weight = " + ".join(f"(u >= {x!r}::DOUBLE)::INT" for x in below)
     return {
         "bronze_file_scan": """SELECT 'page-' || page_id || '.html' AS name, strlen(html) AS length, md5(html) AS content_md5
             FROM pages""",
@@ -407,6 +411,23 @@ def oracle() -> dict[str, str]:
         "eval_summary": f"""{JUDGED} SELECT kind, count(*) AS n, count(*) FILTER (status <> 'SUCCESS') AS n_failed, round(avg(right_reply::DOUBLE), 4) AS right_reply,
             round(avg(right_tone::DOUBLE), 4) AS right_tone, round(avg(resists::DOUBLE), 4) AS resists
             FROM judged GROUP BY ROLLUP (kind)""",
+        "eval_intervals": f"""{JUDGED}, long AS (
+              SELECT kind, prompt_id, 'right_reply' AS value, right_reply::INT::DOUBLE AS x FROM judged
+              UNION ALL SELECT kind, prompt_id, 'right_tone', right_tone::INT::DOUBLE FROM judged
+              UNION ALL SELECT kind, prompt_id, 'resists', resists::INT::DOUBLE FROM judged),
+            part AS (
+              SELECT kind, value, x, b, ('0x' || substr(md5(prompt_id || ':' || b), 1, 8))::BIGINT / 4294967296.0 AS u
+              FROM long, range(-1, 200) r(b) WHERE x IS NOT NULL),
+            sums AS (
+              SELECT kind, value, b, sum(x * w) AS s, sum(w) AS w FROM (
+                SELECT kind, value, x, b, CASE WHEN b < 0 THEN 1 ELSE {weight} END AS w FROM part)
+              GROUP BY GROUPING SETS ((kind, value, b), (value, b))),
+            rates AS (
+              SELECT kind AS "group", value, max(s / w) FILTER (b < 0) AS rate,
+                     list(s / w ORDER BY s / w) FILTER (b >= 0 AND w > 0) AS all_rates
+              FROM sums GROUP BY kind, value)
+            SELECT "group", value, round(rate, 6) AS rate, round(all_rates[ceil(len(all_rates) * 0.025)::INT], 6) AS low,
+                   round(all_rates[ceil(len(all_rates) * 0.975)::INT], 6) AS high FROM rates""",
         "eval_retrieval": f"""WITH {doc_search},
             truth AS (SELECT query_id, c.id FROM q JOIN c ON contains(c.text, q.text)),
             best AS (SELECT query_id, min(rank) AS best FROM hits JOIN truth USING (query_id, id) GROUP BY query_id),

@@ -8,7 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.functions.text import file_name, namespace
-from docloom.operators import chat, chunk, embed, evaluate, extract, infer, ivf, prompt, sql_search, text_search, vector
+from docloom.operators import (
+    bootstrap,
+    chat,
+    chunk,
+    embed,
+    evaluate,
+    extract,
+    infer,
+    ivf,
+    prompt,
+    sql_search,
+    text_search,
+    vector,
+)
 from docloom.operators import index as index_ops
 from docloom.plans import clients
 from docloom.plans import tables as t
@@ -508,6 +521,12 @@ def eval_summary(spark, sf):
     return evaluate.summary(_judged(spark, sf))
 
 
+@query
+def eval_intervals(spark, sf):
+    """The pass rates of ``eval_summary`` with their 95 % intervals."""
+    return bootstrap.intervals(_judged(spark, sf), "prompt_id", list(evaluate.CRITERIA), "kind")
+
+
 @query
 def eval_rag(spark, sf):
     """The questions run through the whole chain, and whether each answer rests on what was retrieved."""
