@@ -367,6 +367,8 @@ def oracle() -> dict[str, str]:
             SELECT conv_id, turn, text_output, CASE WHEN f = '' THEN 'INVALID' ELSE f END AS label FROM l""",
         "batch_complete": """SELECT conv_id, turn, md5(text) || ' ' || length(text) || ' max_tokens=100,temperature='
             || turn % 3 AS text_output, 'SUCCESS' AS status FROM conversations""",
+        "batch_complete_paced": """SELECT item_id AS query_id, md5(text) || ' ' || length(text) || ' ' AS text_output,
+            'SUCCESS' AS status FROM benchmark""",
         "chat_question": f"{STATE} SELECT conv_id, question FROM state",
         "chat_history": f"""WITH {MESSAGES} SELECT conv_id, turn, role, content FROM msg
             QUALIFY turn < max(turn) OVER (PARTITION BY conv_id)""",

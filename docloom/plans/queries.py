@@ -427,6 +427,16 @@ def batch_complete(spark, sf):
     return done.select("conv_id", "turn", "text_output", "status")
 
 
+@query
+def batch_complete_paced(spark, sf):
+    """The questions under one limit that four tasks share, half of them first, then all: a log keeps what was answered."""
+    asked = t.questions(spark, sf).select("query_id", prompt.plain(F.col("text")).alias("prompt"))
+    limits = {"calls": 20, "period": 1.0, "partitions": 4, "batch": 4, "log": new_folder(spark, "responses")}
+    infer.complete(asked.where("query_id % 2 = 0"), "prompt", clients.digest, **limits)
+    done = infer.complete(asked, "prompt", clients.digest, **limits)
+    return done.select("query_id", "text_output", "status")
+
+
 # ---- conversations
 
 

@@ -9,6 +9,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 
+def _found(path: str):
+    """(file system, path in it); a path without a scheme is a local one."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path if ":" in path.split("/", 1)[0] else f"file://{path}")
+
+
+def listed(folder: str) -> list[str]:
+    """Names of what lies in a folder, in order; none if there is no such folder."""
+    from pyarrow import fs
+
+    system, place = _found(folder)
+    return sorted(x.base_name for x in system.get_file_info(fs.FileSelector(place, allow_not_found=True)))
+
+
 def write_file(path: str, parts: list) -> None:
     """Write a file whole or not at all: under another name first, so that a lost or repeated task leaves no half.
 
@@ -16,7 +31,7 @@ def write_file(path: str, parts: list) -> None:
     """
     from pyarrow import fs
 
-    system, place = fs.FileSystem.from_uri(path)
+    system, place = _found(path)
     system.create_dir(place.rpartition("/")[0], recursive=True)
     half = f"{place}.{uuid.uuid4().hex}.part"
     with system.open_output_stream(half) as out:
@@ -29,9 +44,7 @@ def write_file(path: str, parts: list) -> None:
 
 def open_file(path: str):
     """A file that can be read and sought."""
-    from pyarrow import fs
-
-    system, place = fs.FileSystem.from_uri(path)
+    system, place = _found(path)
     return system.open_input_file(place)
 
 

@@ -19,35 +19,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 from docloom.operators.index import apply_changes, build_index, change_feed
+from docloom.sources.blobs import listed, open_file
 
 FORMAT = "docloom_changes"
 SCHEMA = "version int, path string, chunk_id string, change_type string"
 
 
-def _listed(folder: str) -> list[str]:
-    """Names of what lies in a folder that driver and executors reach; none if there is no such folder."""
-    from pyarrow import fs
-
-    system, place = fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
-    found = system.get_file_info(fs.FileSelector(place, allow_not_found=True))
-    return sorted(x.base_name for x in found)
-
-
-def _opened(path: str):
-    from pyarrow import fs
-
-    system, place = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
-    return system.open_input_file(place)
-
-
 def latest_version(folder: str) -> int:
     """The newest version up to which all are complete, 0 for none."""
-    complete = {int(name) for name in _listed(f"{folder}/complete") if name.isdigit()}
+    complete = {int(name) for name in listed(f"{folder}/complete") if name.isdigit()}
     newest = 0
     while newest + 1 in complete:
         newest += 1
     # the last marker may still be in the making
-    while newest and "_SUCCESS" not in _listed(f"{folder}/complete/{newest}"):
+    while newest and "_SUCCESS" not in listed(f"{folder}/complete/{newest}"):
         newest -= 1
     return newest
 
@@ -89,11 +74,11 @@ class ChangeReader(DataSourceStreamReader):
         found = []
         for version in range(start["version"] + 1, end["version"] + 1):
             place = f"{self.folder}/changes/{version}"
-            found += [ChangeFile(version, f"{place}/{name}") for name in _listed(place) if name.endswith(".parquet")]
+            found += [ChangeFile(version, f"{place}/{name}") for name in listed(place) if name.endswith(".parquet")]
         return found
 
     def read(self, partition: ChangeFile) -> Iterator[pa.RecordBatch]:
-        with _opened(partition.path) as file:
+        with open_file(partition.path) as file:
             for batch in pq.ParquetFile(file).iter_batches():
                 version = pa.array([partition.version] * batch.num_rows, pa.int32())
                 columns = [batch.column(name) for name in ("path", "chunk_id", "change_type")]
@@ -140,7 +125,7 @@ def follow(spark: SparkSession, folder: str, out: str, checkpoint: str) -> None:
             return
         new, before = snapshot(spark, folder, span["last"]), span["first"] - 1
         # versions without changes have no rows, so that the last index may be older than the version before
-        while before and str(before) not in _listed(out):
+        while before and str(before) not in listed(out):
             before -= 1
         old = index_at(spark, out, before) if before else build_index(new.limit(0))
         apply_changes(old, new, batch).write.mode("overwrite").parquet(os.path.join(out, str(span["last"])))
@@ -156,4 +141,4 @@ def follow(spark: SparkSession, folder: str, out: str, checkpoint: str) -> None:
 
 
 def newest_index(spark: SparkSession, out: str) -> DataFrame:
-    return index_at(spark, out, max(int(name) for name in _listed(out) if name.isdigit()))
+    return index_at(spark, out, max(int(name) for name in listed(out) if name.isdigit()))
