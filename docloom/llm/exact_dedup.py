@@ -137,7 +137,7 @@ def repeated(fingerprints: DataFrame, rows: int) -> DataFrame:
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, keep_id, group_size, kept, text_sha256, _key: the group of equal texts of every row, and whether it stays.
 
-    ``_key`` is a hash of the id and the whole text.
+    ``_key`` is a digest of the id and the whole text.
     """
     text = normalised(F.col(text_col))
     rows = keep(

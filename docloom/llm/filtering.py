@@ -37,6 +37,10 @@ def stay(docs: DataFrame, decisions: DataFrame, key: Column) -> DataFrame:
     return left.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def key_of(id_col: str, text_col: str) -> Column:
-    """A hash of a row's id and whole text."""
-    return F.xxhash64(id_col, text_col)
+def key_of(*columns: str | Column) -> Column:
+    """128 bits of a row's values, each with its length in front and nulls apart: rows of one key are alike in them."""
+    parts = []
+    for c in columns:
+        value = (F.col(c) if isinstance(c, str) else c).cast("string")
+        parts += [F.coalesce(F.length(value).cast("string"), F.lit("-")), F.coalesce(value, F.lit(""))]
+    return F.md5(F.concat_ws(":", *parts))

@@ -13,7 +13,7 @@ their text has a candidate, found by bands and sizes alone.
 
 Texts without words have no n-grams and no links; those of one to four words have one n-gram.
 Null texts are without words. Null ids are ids of their own, class ids ignore them. Repeated rows
-are copies. Every row gives a row; only the named columns are read.
+are copies. Every row gives a row, an empty table none; only the named columns are read.
 """
 
 from __future__ import annotations
@@ -92,7 +92,7 @@ def signatures(docs: DataFrame, bands: int, rows: int, n: int = shingles.N) -> D
         release()
 
     kind = docs.schema["_id"].dataType.simpleString()
-    return docs.mapInArrow(sign, f"_row bigint, _id {kind}, _key bigint, _set binary, _n bigint, _bands array<bigint>")
+    return docs.mapInArrow(sign, f"_row bigint, _id {kind}, _key string, _set binary, _n bigint, _bands array<bigint>")
 
 
 def runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docloom.llm import vocab
-from docloom.llm.filtering import stay
+from docloom.llm.filtering import key_of, stay
 from docloom.llm.storage import keep
 from docloom.llm.words import NUMBER, OTHER, classes, code_points, slices
 from docloom.session import broadcast_if_small
@@ -215,7 +215,7 @@ def identify(
             known.cast("int").alias("_declared"),
             *evidence,
             F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("_letters"),
-            F.xxhash64(id_col, text, said, *[c for c in (suffix, host, domain) if c is not None]).alias("_key"),
+            key_of(id_col, text, said, *[c for c in (suffix, host, domain) if c is not None]).alias("_key"),
             text_evidence(text).alias("_text"),
         )
         .withColumn("_share", F.transform(_softmax(F.col("_text")), lambda p: F.round(1000 * p).cast("bigint")))
@@ -305,5 +305,5 @@ def of_documents(docs: DataFrame, **options) -> DataFrame:
 
 def keep_known(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` (doc_id, text, lang, source) whose language is known, unchanged."""
-    key = F.xxhash64("doc_id", "text", first_part(F.col("lang")), F.col("source"))
+    key = key_of("doc_id", "text", first_part(F.col("lang")), "source")
     return stay(docs, of_documents(docs), key)

@@ -7,7 +7,8 @@ result which characters of the source it came from. What the same finders find i
 rewritten text is mapped back. Spans of the plain text all stay.
 
 A transducer's output is searched as a whole, whatever the text's length. Null texts are empty.
-Spans count code points, the end excluded. Only the named columns are read, others are kept.
+Spans count code points, the end excluded. Every row gives a row, repeated ones each; an empty table gives
+none. Only the named columns are read, others are kept.
 """
 
 from __future__ import annotations

@@ -8,7 +8,7 @@ kept at ``threshold`` or above. Everything here is DataFrame expressions.
 
 Null texts have no words, fail the base rules and are not kept. Without trusted rows both
 multinomials are smooth or raw alike and the threshold decides by that. Repeated rows each count
-and each give a row. Only the named columns are read.
+and each give a row; an empty table gives none. Only the named columns are read.
 """
 
 from __future__ import annotations

@@ -8,6 +8,7 @@ number instead of encoding again.
 
 Prefixes are those of the text as the tokenizer normalises it. Counts may fall as a prefix
 grows, since a longer word may need fewer tokens. Null texts are empty and have 0 tokens.
+Ids may be null or repeated: every row gives a row, and an empty table gives none.
 Only the named columns are read.
 """
 
