@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docloom.functions.rank import top_k
+from docloom.functions.terms import term_counts
 from docloom.functions.text import tokens
-from docloom.session import broadcast_if_small, materialise
+from docloom.session import BROADCAST_LIMIT, broadcast_if_small, materialise
+
+SLOTS = T.ArrayType(T.StructType([T.StructField("slot", T.LongType()), T.StructField("weight", T.DoubleType())]))
 
 Embedder = Callable[[list[str]], list[list[float]]]
 EmbedderFactory = Callable[[], Embedder]
@@ -34,36 +41,59 @@ def embed(index: DataFrame, client: EmbedderFactory, batch: int = 64) -> DataFra
     return materialise(index.mapInPandas(run, f"{fields}, embedding array<float>"), "embedded")
 
 
-def slot(term: Column, slots: int) -> Column:
-    """The slot of a term: the first eight hex digits of its md5, folded."""
-    return F.pmod(F.conv(F.substring(F.md5(term), 1, 8), 16, 10).cast("bigint"), F.lit(slots))
+def slots_of(words: pa.Array, slots: int) -> np.ndarray:
+    """The slot of each word: the first eight hex digits of its md5, folded."""
+    return np.array([int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % slots for w in words.to_pylist()], np.int64)
 
 
-def counts(texts: DataFrame, slots: int) -> DataFrame:
-    """id, slot, tf: a text's words counted by slot; texts are (id, text)."""
-    words = texts.select("id", F.explode(tokens(F.coalesce("text", F.lit("")))).alias("term"))
-    return words.groupBy("id", slot(F.col("term"), slots).alias("slot")).agg(F.count(F.lit(1)).alias("tf"))
+def slot_counts(lists: pa.ListArray, slots: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, slot, count) of every slot that a row's words fall into, in row order."""
+    row, word, count, _, words = term_counts(lists)
+    key = row * slots + slots_of(words, slots)[word]
+    key, place = np.unique(key, return_inverse=True)
+    return key // slots, key % slots, np.bincount(place, count, len(key)).astype(np.int64)
 
 
 def fit(texts: DataFrame, slots: int) -> tuple[DataFrame, int]:
-    """(slot, df) and the number of texts: all that an embedding needs to know of its corpus, one row per slot."""
-    df = counts(texts, slots).groupBy("slot").agg(F.count(F.lit(1)).alias("df"))
+    """(slot, df) and the number of texts: all that an embedding needs to know of its corpus, one row per slot at most."""
+
+    @F.arrow_udf("array<bigint>")
+    def held(lists: pa.Array) -> pa.Array:
+        row, slot, _ = slot_counts(lists, slots)
+        ends = np.searchsorted(row, np.arange(len(lists) + 1))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(slot))
+
+    words = tokens(F.coalesce("text", F.lit("")))
+    df = texts.select(F.explode(held(words)).alias("slot")).groupBy("slot").agg(F.count(F.lit(1)).alias("df"))
     return materialise(df, "slot-counts"), texts.count()
 
 
 def embed_hashed(texts: DataFrame, model: tuple[DataFrame, int], slots: int) -> DataFrame:
-    """id, slot, weight: hashed TF-IDF at unit length, sparse, without a model server.
+    """id, slot, weight: hashed TF-IDF at unit length, sparse, without a model server, text by text without a shuffle.
 
     ``slots`` is to be well above the vocabulary, so that different words rarely meet; slots that the
-    corpus does not hold are left out. Texts and questions share one model.
+    corpus does not hold are left out. Texts and questions share one model. What is sent to the tasks are
+    eight bytes a slot, and ``slots`` must keep them within the limit of a broadcast.
     """
     df, n = model
-    weighted = counts(texts, slots).join(broadcast_if_small(df), "slot").withColumn(
-        "w", F.col("tf") * F.log(1 + F.lit(n) / F.col("df"))
-    )
-    weighted = materialise(weighted.select("id", "slot", "w"), "weighted-slots")
-    length = weighted.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("len"))
-    return weighted.join(length, "id").select("id", "slot", (F.col("w") / F.col("len")).alias("weight"))
+    if 8 * slots > BROADCAST_LIMIT:
+        raise ValueError(f"{slots} slots take more than {BROADCAST_LIMIT} bytes")
+    local = df.toArrow()
+    weights = np.zeros(slots)
+    weights[local["slot"].to_numpy()] = np.log(1 + n / local["df"].to_numpy())
+    shared = texts.sparkSession.sparkContext.broadcast(weights)
+
+    @F.arrow_udf(SLOTS)
+    def weighted(lists: pa.Array) -> pa.Array:
+        row, slot, count = slot_counts(lists, slots)
+        weight = count * shared.value[slot]
+        row, slot, weight = row[weight > 0], slot[weight > 0], weight[weight > 0]
+        length = np.sqrt(np.bincount(row, weight * weight, len(lists)))
+        pairs = pa.StructArray.from_arrays([pa.array(slot), pa.array(weight / length[row])], ["slot", "weight"])
+        ends = np.searchsorted(row, np.arange(len(lists) + 1))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
+
+    return texts.select("id", F.inline(weighted(tokens(F.coalesce("text", F.lit(""))))))
 
 
 def search_sparse(queries: DataFrame, corpus: DataFrame, k: int = 5) -> DataFrame:
