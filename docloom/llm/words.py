@@ -20,7 +20,7 @@ from docloom.llm.worker import once
 
 OTHER, LETTER, NUMBER, SPACE, BLANK = range(5)
 _TIMES = np.uint64(0x9E3779B97F4A7C15)
-SLICE = 2_000_000
+SLICE = 1_000_000
 # What White_Space holds.
 WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 # Endings cut off after an apostrophe.
