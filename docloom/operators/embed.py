@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docloom.functions.rank import top_k
 from docloom.functions.terms import term_counts
 from docloom.functions.text import tokens
-from docloom.session import BROADCAST_LIMIT, broadcast_if_small, materialise
+from docloom.operators.postings import search_weights, shards_for, store_blocks
+from docloom.session import BROADCAST_LIMIT, materialise
 
 SLOTS = T.ArrayType(T.StructType([T.StructField("slot", T.LongType()), T.StructField("weight", T.DoubleType())]))
 
@@ -97,7 +97,14 @@ def embed_hashed(texts: DataFrame, model: tuple[DataFrame, int], slots: int) ->
 
 
 def search_sparse(queries: DataFrame, corpus: DataFrame, k: int = 5) -> DataFrame:
-    """query_id, id, score, rank: the nearest of ``corpus`` (id, slot, weight) per query (query_id, slot, weight)."""
-    asked = broadcast_if_small(materialise(queries.withColumnRenamed("weight", "w"), "sparse-queries"))
-    products = corpus.join(asked, "slot").groupBy("query_id", "id")
-    return top_k(products.agg(F.round(F.sum(F.col("weight") * F.col("w")), 6).alias("score")), k)
+    """query_id, id, score, rank: the nearest of ``corpus`` (id, slot, weight) per query (query_id, slot, weight).
+
+    By block-max postings of the slots, as texts are searched; weights are positive.
+    """
+    pair = F.struct(F.col("slot").cast("string").alias("term"), F.col("weight").cast("double").alias("weight"))
+    documents = materialise(corpus.groupBy("id").agg(F.collect_list(pair).alias("pairs")), "sparse-documents")
+    facts = documents.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("pairs")).alias("size")).first()
+    cores = corpus.sparkSession.sparkContext.defaultParallelism
+    blocks = store_blocks(documents, shards_for(facts["n"], facts["size"] or 0, cores))
+    asked = queries.select("query_id", F.col("slot").cast("string").alias("term"), F.col("weight").alias("w"))
+    return search_weights(asked, blocks, corpus, k)
