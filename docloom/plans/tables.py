@@ -13,7 +13,7 @@ from docloom.operators.extract import parsed
 from docloom.operators.index import build_index
 from docloom.operators.postings import Stored, store
 from docloom.operators.text_search import store_index
-from docloom.session import materialise, new_folder, spread
+from docloom.session import generation, materialise, new_folder, spread
 from docloom.sources.blobs import land
 from docloom.sources.files import read_files
 
@@ -42,7 +42,7 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def once(spark: SparkSession, sf: str, name: str, make: Callable[[], object]):
-    key = (spark.sparkContext.applicationId, sf, name)
+    key = (spark.sparkContext.applicationId, generation(spark), sf, name)
     if key not in _written:
         _written[key] = make()
     return _written[key]

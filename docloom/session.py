@@ -46,8 +46,9 @@ def work_dir(spark: SparkSession) -> str:
     if not named:
         if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        named = tempfile.mkdtemp(prefix="docloom-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        # a running session takes no new value for the setting itself
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="docloom-"))
+        named = sc.getCheckpointDir()
     return named.rstrip("/")
 
 
@@ -61,14 +62,30 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return os.path.join(own_folder(spark), f"{label}-{uuid.uuid4().hex}")
 
 
+GENERATION = "spark.docloom.generation"
+#: Names of the tables that stores leave in the catalog.
+STORED = ("postings_", "blocks_")
+
+
+def generation(spark: SparkSession) -> int:
+    """How often this application has been cleaned: what was written before is gone."""
+    return int(spark.conf.get(GENERATION, "0"))
+
+
 def clean(spark: SparkSession) -> None:
     """Delete all that this application has written for itself, once nothing reads it any more.
 
     Results are lazy and read intermediates, so that only the application knows when; what
-    it leaves has its id for a name.
+    it leaves has its id for a name. Stores go from the catalog, too.
     """
+    for table in spark.catalog.listTables():
+        if table.name.startswith(STORED) and not table.isTemporary:
+            where = spark.sql(f"DESCRIBE FORMATTED `{table.name}`").where("col_name = 'Location'").first()
+            if where and spark.sparkContext.applicationId in where["data_type"]:
+                spark.sql(f"DROP TABLE `{table.name}`")
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(own_folder(spark))
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    spark.conf.set(GENERATION, str(generation(spark) + 1))
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
