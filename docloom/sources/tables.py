@@ -27,7 +27,7 @@ def scratch_schema(spark: SparkSession, name: str = "docloom_work") -> str:
 
 def overwrite_table(df: DataFrame, table: str) -> DataFrame:
     """Replace ``table``, schema included, and return a scan of it."""
-    df.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(table)
+    df.write.mode("overwrite").saveAsTable(table)
     return df.sparkSession.read.table(table)
 
 
