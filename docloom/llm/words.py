@@ -201,7 +201,7 @@ class Numbers:
     beyond ``most`` the oldest run is dropped. Words and numbers lie in arrays, some forty bytes a word.
     """
 
-    def __init__(self, make, most: int = 1_000_000):
+    def __init__(self, make, most: int = 400_000):
         self.make, self.most = make, most
         self.runs: list[Known] = []
 
