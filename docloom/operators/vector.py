@@ -128,14 +128,16 @@ def knn_exact(queries: DataFrame, corpus: DataFrame, k: int = 5, limit: int = BR
     """query_id, id, score, rank: the k nearest of ``corpus`` (id, v) per query (query_id, v).
 
     A row per hit, so a query without a vector has none. Queries are broadcast; where they exceed
-    ``limit`` bytes, blocks of them meet blocks of the corpus in one job.
+    ``limit`` bytes, blocks of them meet blocks of the corpus in one job. The corpus travels once for each block
+    of queries, which are therefore as large as a task can hold, and cut into blocks for all cores.
     """
     queries, corpus = materialise(fresh(queries, "query_id"), "queries"), fresh(corpus, "id")
     size = measured(queries)[1]
     if size <= limit:
         return top_k(_score(queries, corpus, k), k)
-    n_corpus = corpus.count()
-    many_q, many_c = (F.lit(n).cast("bigint") for n in (2 * size // limit + 1, n_corpus // CORPUS_BLOCK + 1))
+    n_corpus, cores = corpus.count(), corpus.sparkSession.sparkContext.defaultParallelism
+    blocks = 2 * size // BROADCAST_LIMIT + 1, max(n_corpus // CORPUS_BLOCK + 1, min(cores, n_corpus))
+    many_q, many_c = (F.lit(n).cast("bigint") for n in blocks)
     q = _blocked(queries, "query_id", "qb", many_q, "cb", many_c)
     c = _blocked(corpus, "id", "cb", many_c, "qb", many_q)
     return top_k(_score_blocks(q, c, k, []), k)
