@@ -40,14 +40,19 @@ def change_feed(old: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
-def apply_changes(index: DataFrame, new: DataFrame, feed: DataFrame) -> DataFrame:
+def apply_changes(index: DataFrame | None, new: DataFrame, feed: DataFrame) -> DataFrame:
     """The index of gold version ``new``, from that of the version before and the feed between them.
 
     Entries whose id the feed does not touch are carried over as they are; only the rows of touched
     ids are read from ``new`` and folded again. While the touched ids are few enough to broadcast,
-    no untouched text is shuffled.
+    no untouched text is shuffled. They travel as 64 bits: an id that shares them with a touched one is folded
+    again as well, to what it was. Without an ``index``, before the first version, all ids are touched.
     """
-    touched = broadcast_if_small(materialise(feed.select("chunk_id").distinct(), "touched"))
-    carried = index.join(touched, "chunk_id", "left_anti")
-    changed = materialise(new.join(touched, "chunk_id", "left_semi").select("chunk_id", "path", "chunked_text"), "changed")
+    if index is None:
+        return build_index(new)
+    bits = F.when(F.col("chunk_id").isNotNull(), F.xxhash64("chunk_id"))
+    touched = broadcast_if_small(materialise(feed.select(bits.alias("_bits")).distinct(), "touched"))
+    carried = index.withColumn("_bits", bits).join(touched, "_bits", "left_anti").drop("_bits")
+    again = new.withColumn("_bits", bits).join(touched, "_bits", "left_semi")
+    changed = materialise(again.select("chunk_id", "path", "chunked_text"), "changed")
     return carried.unionByName(build_index(changed).select(carried.columns))

@@ -197,7 +197,8 @@ def stream_index_feed(spark, sf):
     """An index that follows the change feed of two gold versions as a stream, one after the other."""
     folder, out, checkpoint = (new_folder(spark, x) for x in ("gold-versions", "followed-index", "feed-checkpoint"))
     for number in (1, 2):
-        feed.publish(t.gold_version(spark, sf, number), folder)
+        # publishing writes it, so that it need not have been written before
+        feed.publish(t.gold_of_version(spark, sf, number), folder)
         feed.follow(spark, folder, out, checkpoint)
     return feed.newest_index(spark, out)
 

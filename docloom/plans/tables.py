@@ -110,15 +110,15 @@ def without(docs: DataFrame, labels: DataFrame, condition: str) -> DataFrame:
     return docs.join(labels.where(condition).select("doc_id"), "doc_id", "left_anti")
 
 
-def gold_version(spark: SparkSession, sf: str, number: int) -> DataFrame:
+def gold_of_version(spark: SparkSession, sf: str, number: int) -> DataFrame:
     """Version 1 leaves out documents labelled poor, version 2 those labelled toxic."""
+    docs, labels = documents(spark, sf), table(spark, sf, "labels")
+    kept = without(docs, labels, "quality = 0" if number == 1 else "toxic = 1")
+    return gold(document_silver(kept), fixed_chunks())
 
-    def make() -> DataFrame:
-        docs, labels = documents(spark, sf), table(spark, sf, "labels")
-        kept = without(docs, labels, "quality = 0" if number == 1 else "toxic = 1")
-        return gold(document_silver(kept), fixed_chunks())
 
-    return written(spark, sf, f"gold-v{number}", make)
+def gold_version(spark: SparkSession, sf: str, number: int) -> DataFrame:
+    return written(spark, sf, f"gold-v{number}", lambda: gold_of_version(spark, sf, number))
 
 
 def gold_table(spark: SparkSession, sf: str) -> DataFrame:

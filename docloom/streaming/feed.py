@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
-from docloom.operators.index import apply_changes, build_index, change_feed
+from docloom.operators.index import apply_changes, change_feed
 from docloom.sources.blobs import listed, open_file
 
 FORMAT = "docloom_changes"
@@ -127,7 +127,7 @@ def follow(spark: SparkSession, folder: str, out: str, checkpoint: str) -> None:
         # versions without changes have no rows, so that the last index may be older than the version before
         while before and str(before) not in listed(out):
             before -= 1
-        old = index_at(spark, out, before) if before else build_index(new.limit(0))
+        old = index_at(spark, out, before) if before else None
         apply_changes(old, new, batch).write.mode("overwrite").parquet(os.path.join(out, str(span["last"])))
 
     query = (
