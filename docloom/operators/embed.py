@@ -107,4 +107,4 @@ def search_sparse(queries: DataFrame, corpus: DataFrame, k: int = 5) -> DataFram
     cores = corpus.sparkSession.sparkContext.defaultParallelism
     blocks = store_blocks(documents, shards_for(facts["n"], facts["size"] or 0, cores))
     asked = queries.select("query_id", F.col("slot").cast("string").alias("term"), F.col("weight").alias("w"))
-    return search_weights(asked, blocks, corpus, k)
+    return search_weights(asked, blocks, k)
