@@ -68,12 +68,18 @@ def fit(texts: DataFrame, slots: int) -> tuple[DataFrame, int]:
     return materialise(df, "slot-counts"), texts.count()
 
 
-def embed_hashed(texts: DataFrame, model: tuple[DataFrame, int], slots: int) -> DataFrame:
+def postings_of(model: tuple[DataFrame, int]) -> int:
+    """How many slots the texts of ``model`` hold, all told."""
+    return model[0].agg(F.sum("df")).first()[0] or 0
+
+
+def embed_hashed(texts: DataFrame, model: tuple[DataFrame, int], slots: int, nested: bool = False) -> DataFrame:
     """id, slot, weight: hashed TF-IDF at unit length, sparse, without a model server, text by text without a shuffle.
 
     ``slots`` is to be well above the vocabulary, so that different words rarely meet; slots that the
     corpus does not hold are left out. Texts and questions share one model. What is sent to the tasks are
-    eight bytes a slot, and ``slots`` must keep them within the limit of a broadcast.
+    eight bytes a slot, and ``slots`` must keep them within the limit of a broadcast. ``nested``: id and pairs, an array
+    of (slot, weight), a row per text.
     """
     df, n = model
     if 8 * slots > BROADCAST_LIMIT:
@@ -93,18 +99,25 @@ def embed_hashed(texts: DataFrame, model: tuple[DataFrame, int], slots: int) ->
         ends = np.searchsorted(row, np.arange(len(lists) + 1))
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
 
-    return texts.select("id", F.inline(weighted(tokens(F.coalesce("text", F.lit(""))))))
+    pairs = weighted(tokens(F.coalesce("text", F.lit(""))))
+    return texts.select("id", pairs.alias("pairs") if nested else F.inline(pairs))
 
 
-def search_sparse(queries: DataFrame, corpus: DataFrame, k: int = 5) -> DataFrame:
+def search_sparse(queries: DataFrame, corpus: DataFrame, k: int = 5, size: tuple[int, int] | None = None) -> DataFrame:
     """query_id, id, score, rank: the nearest of ``corpus`` (id, slot, weight) per query (query_id, slot, weight).
 
-    By block-max postings of the slots, as texts are searched; weights are positive.
+    By block-max postings of the slots, as texts are searched; weights are positive. A corpus with nested pairs (id, pairs)
+    has unique ids and need not be gathered; where ``size``, its rows and pairs, is known, it is read once.
     """
-    pair = F.struct(F.col("slot").cast("string").alias("term"), F.col("weight").cast("double").alias("weight"))
-    documents = materialise(corpus.groupBy("id").agg(F.collect_list(pair).alias("pairs")), "sparse-documents")
-    facts = documents.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("pairs")).alias("size")).first()
+    documents = corpus
+    if "pairs" not in corpus.columns:
+        pair = F.struct(F.col("slot").alias("term"), F.col("weight").cast("double").alias("weight"))
+        documents = corpus.groupBy("id").agg(F.collect_list(pair).alias("pairs"))
+    if size is None:
+        documents = materialise(documents, "sparse-documents")
+        facts = documents.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("pairs")).alias("size")).first()
+        size = facts["n"], facts["size"] or 0
     cores = corpus.sparkSession.sparkContext.defaultParallelism
-    blocks = store_blocks(documents, shards_for(facts["n"], facts["size"] or 0, cores))
+    blocks = store_blocks(documents, shards_for(*size, cores))
     asked = queries.select("query_id", F.col("slot").cast("string").alias("term"), F.col("weight").alias("w"))
     return search_weights(asked, blocks, k)

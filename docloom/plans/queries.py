@@ -363,8 +363,9 @@ def search_embedded(spark, sf):
     """Questions and chunks embedded by one model, searched by embedding."""
     chunks, asked = _chunk_texts(spark, sf), t.questions(spark, sf).withColumnRenamed("query_id", "id")
     model = embed.fit(chunks, SLOTS)
-    corpus, queries = (embed.embed_hashed(x, model, SLOTS) for x in (chunks, asked))
-    return _ranked(embed.search_sparse(queries.withColumnRenamed("id", "query_id"), corpus, K))
+    corpus, queries = embed.embed_hashed(chunks, model, SLOTS, nested=True), embed.embed_hashed(asked, model, SLOTS)
+    size = model[1], embed.postings_of(model)
+    return _ranked(embed.search_sparse(queries.withColumnRenamed("id", "query_id"), corpus, K, size))
 
 
 # ---- prompts
